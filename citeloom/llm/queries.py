@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
+from citeloom.llm.ngram_join import similar_components
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +20,30 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM n WINDOW w AS (PARTITION BY t)
 """
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+SELECT a AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(b) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
+"""
+
 QUERIES = {
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    "op5_ngram_jaccard_join": OP5_SQL,
     "op10_exact_dedup": OP10_SQL,
 }
