@@ -6,9 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
+from citeloom.llm import language_id, sentencepiece_codec
+from citeloom.llm.mixing import mix_sources
 from citeloom.llm.ngram_join import similar_components
 
 
+def piece_model() -> str:
+    """Path of the vocabulary file; it is read where the query is built."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -20,6 +29,13 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM n WINDOW w AS (PARTITION BY t)
 """
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "hit_rate")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
@@ -38,7 +54,18 @@ SELECT a AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(b) AS compo
 FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digests(sentencepiece_codec.encode(table(spark, sf_dir, "documents"), piece_model()))
+
+
 QUERIES = {
+    "op7_mixing": op7_mixing,
+    "op1_language_id": op1_language_id,
+    "op8_sentencepiece_codec": op8_sentencepiece_codec,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
