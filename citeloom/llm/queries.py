@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
-from citeloom.llm import language_id, sentencepiece_codec
+from citeloom.llm import language_id, secret_scan, sentencepiece_codec
 from citeloom.llm.mixing import mix_sources
 from citeloom.llm.ngram_join import similar_components
 
@@ -36,6 +36,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "hit_rate")
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_components(table(spark, sf_dir, "documents"))
 
@@ -63,6 +67,7 @@ def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_secret_scan": op4_secret_scan,
     "op7_mixing": op7_mixing,
     "op1_language_id": op1_language_id,
     "op8_sentencepiece_codec": op8_sentencepiece_codec,
