@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
-from citeloom.llm import chat_format, language_id, secret_scan, sentencepiece_codec
+from citeloom.llm import chat_format, language_id, license_scan, secret_scan, sentencepiece_codec
 from citeloom.llm.mixing import mix_sources
 from citeloom.llm.ngram_join import similar_components
 
@@ -80,6 +80,10 @@ SELECT a AS doc_id, coalesce(max(n.n), 0)::BIGINT AS n_shingles, min(b) AS compo
 FROM reach LEFT JOIN n ON n.doc_id = a GROUP BY a
 """
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
@@ -89,6 +93,7 @@ def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_license_scan": op6_license_scan,
     "op9_chat_format": op9_chat_format,
     "op4_secret_scan": op4_secret_scan,
     "op7_mixing": op7_mixing,
