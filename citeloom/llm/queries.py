@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
 from citeloom.llm import chat_format, language_id, license_scan, secret_scan, sentencepiece_codec
 from citeloom.llm.mixing import mix_sources
 from citeloom.llm.ngram_join import similar_components
+from citeloom.llm.topk import top_k
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,23 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "hit_rate")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -93,6 +112,7 @@ def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_exact_topk": op2_exact_topk,
     "op6_license_scan": op6_license_scan,
     "op9_chat_format": op9_chat_format,
     "op4_secret_scan": op4_secret_scan,
@@ -104,6 +124,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_exact_topk": OP2_SQL,
     "op9_chat_format": OP9_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
     "op10_exact_dedup": OP10_SQL,
