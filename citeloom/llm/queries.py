@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from citeloom.llm.common import table
 from citeloom.llm.exact_dedup import exact_dedup
-from citeloom.llm import chat_format, language_id, license_scan, secret_scan, sentencepiece_codec
+from citeloom.llm import chat_format, html_blocks, language_id, license_scan, secret_scan, sentencepiece_codec
 from citeloom.llm.mixing import mix_sources
 from citeloom.llm.ngram_join import similar_components
 from citeloom.llm.topk import top_k
@@ -54,6 +54,7 @@ FROM n WINDOW w AS (PARTITION BY t)
 """
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out documents train nothing."""
     docs = table(spark, sf_dir, "documents")
     model = language_id.train(docs.filter(~language_id.held_out()))
     found = language_id.identify(docs, model)
@@ -77,6 +78,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digests(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
@@ -112,6 +117,7 @@ def op8_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_html_extract": op3_html_extract,
     "op2_exact_topk": op2_exact_topk,
     "op6_license_scan": op6_license_scan,
     "op9_chat_format": op9_chat_format,
