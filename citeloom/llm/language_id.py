@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +201,29 @@ def identify(df: DataFrame, model: Model, text_col: str = "text", id_col: str =
     return out.withColumnRenamed("id", id_col)
 
 
+def _keep(shared, at: int, min_hit_rate: float, min_chars: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            texts = batch.column(at)
+            sizes = pc.utf8_length(texts).to_pylist()
+            found = [model.predict(*x) for x in gram_hashes(texts)]
+            keep = [lang != UNDETERMINED and (n < min_chars or rate >= min_hit_rate) for (lang, _, rate), n in zip(found, sizes, strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def known_rows(df: DataFrame, model: Model, min_hit_rate: float, min_chars: int, text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` whose text is in a learned language, with all their columns.
+
+    Rejected are null texts, texts without a letter, and texts of ``min_chars`` characters or more
+    of whose n-grams their language accounts for less than ``min_hit_rate``.
+    """
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    return df.mapInArrow(_keep(shared, df.columns.index(text_col), min_hit_rate, min_chars), df.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether a document is held out of training: crc32 of its id as text, modulo 4, is 2."""
     return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))

@@ -67,17 +67,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes:
     return done.select("source", "rank", "source_size", "docs", target.alias("target"))
 
 
-def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", quantum: int = QUANTUM, passes: int = PASSES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """One staged row per input row: rid, id, ``size``, ``source``, ``source_size``, ``target``, ``taken``."""
+def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", quantum: int = QUANTUM, passes: int = PASSES, weights: tuple[int, ...] = WEIGHTS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One staged row per input row: rid, id, ``size``, ``source``, ``source_size``, ``target``,
+    ``taken`` and ``row``, a struct of the columns to carry."""
     text = F.col(text_col)
     shuffled = F.xxhash64(F.col(id_col).cast("string"), text, F.lit(17))
-    rows = stage(row_ids(df, F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"), shuffled.alias("h")), "sizes")
+    carried = F.struct(*[F.col(c) for c in carry]).alias("row") if carry else F.lit(None).cast("int").alias("row")
+    kept = row_ids(df, F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"), shuffled.alias("h"), carried)
+    rows = stage(kept, "sizes")
     targets = stage(source_targets(rows, weights, passes), "targets")
 
     # Place of each document in its source's shuffled queue.
     place = (F.col("h") / F.lit(float(2**64))) + 0.5
     counts = targets.select("source", F.ceil(F.greatest(F.col("docs"), F.lit(1)) / RANGE_ROWS).alias("ranges"))
-    words = rows.filter("size > 0")
+    words = rows.filter("size > 0").drop("row")
     queued = with_running_total(words, "source", place, ["h", "id", "rid"], "size", "start", counts)
     about = targets.select(F.col("source").alias("s__"), "rank", "source_size", "target")
     queued = queued.join(about, F.col("source").eqNullSafe(F.col("s__"))).drop("s__", "source", "h")
@@ -103,7 +106,7 @@ def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source",
     took = ordered.filter(F.col("before") < budget).groupBy("rid").agg(F.sum(F.least(F.col("words"), F.lit(budget) - F.col("before"))).alias("taken"))
     about = targets.select(F.col("source").alias("s__"), "source_size", "target")
     out = rows.join(about, F.col("source").eqNullSafe(F.col("s__"))).join(took, "rid", "left")
-    out = stage(out.select("rid", "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), "taken")
+    out = stage(out.select("rid", "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "row"), "taken")
     drop_staged(packets)
     return out
 
@@ -112,3 +115,30 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """One row per input row: id, ``size``, ``source_size``, ``target`` and ``taken`` words."""
     out = mix_rows(df, id_col=id_col, **options)
     return out.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
+
+
+def mixed_rows(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", chars_col: str = "n_chars", **options) -> DataFrame:
+    """The rows of ``df`` as often as the mix takes them, with all columns.
+
+    Each whole pass over a document gives its row; a pass that the mix cuts off gives the row with
+    the text up to the last word taken, and ``chars_col``, if there is one, counts that text.
+    """
+    out = mix_rows(df, text_col, source_col, id_col, carry=tuple(df.columns), **options).filter("taken > 0")
+    left = F.col("taken") - F.col("copy") * F.col("size")
+    copies = out.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")))))
+    text = F.col(f"row.`{text_col}`")
+    begun = F.regexp_extract(text, r"\A[\x20\x09-\x0D]*", 0)
+    # Words and the space before each, in order: the first ones of them make the cut text.
+    words = F.regexp_extract_all(F.substr(text, F.char_length(begun) + 1), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.concat(begun, F.array_join(F.slice(words, F.lit(1), F.greatest(left, F.lit(1)).cast("int")), ""))
+    final = copies.withColumn("said", F.when(left >= F.col("size"), text).otherwise(cut))
+    columns = []
+    for c in df.columns:
+        if c == text_col:
+            columns.append(F.col("said").alias(c))
+        elif c == chars_col:
+            kind = df.schema[c].dataType
+            columns.append(F.when(left >= F.col("size"), F.col(f"row.`{c}`")).otherwise(F.char_length("said").cast(kind)).alias(c))
+        else:
+            columns.append(F.col(f"row.`{c}`").alias(c))
+    return final.select(*columns)
