@@ -1,6 +1,405 @@
-"""Registered queries over the driver's tables, with the same statements in SQL."""
+"""Registered queries over the driver's tables, with the same statements in SQL.
+
+The tables stand in for the citation corpus: orders are papers (venue: priority, year: order date),
+line items are edges (order to part number), the first sixty characters of documents are titles.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from citeloom.functions import paths, text
+from citeloom.operators import contexts, corpus, graph, labels, prompts, resolve
+from citeloom.schema import CALENDAR, STOP_WORDS
+from citeloom.streaming import incremental
+
+CORE = ("1-URGENT", "2-HIGH")
+TRAIN, EVAL = (1995, 1999), (2000, 2000)
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+
+
+def _query(sql: str | None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("paper_id"), F.col("o_orderpriority").alias("venue"), F.year("o_orderdate").alias("year"))
+
+
+def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("paper_id"), F.col("l_partkey").alias("matched_paper_id"))
+
+
+def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    year = (F.lit(2000) + F.pmod("doc_id", F.lit(20))).cast("int")
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("paper_id"), F.substring("text", 1, 60).alias("title"), F.col("source").alias("venue"), year.alias("year"))
+
+
+def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles of conversations' turns and of documents stand for references."""
+    docs = titles(spark, sf_dir)
+    return docs.select(F.col("pos").alias("ref_id"), F.concat(F.substring("title", 1, 50), F.lit("!")).alias("title"), F.when(F.pmod("pos", F.lit(3)) == 0, F.lit(None)).otherwise(F.col("year")).cast("int").alias("year"))
+
+
+_PAPERS = "SELECT o_orderkey AS paper_id, o_orderpriority AS venue, year(o_orderdate)::INTEGER AS year FROM orders"
+_GRAPH = f"""
+WITH p AS ({_PAPERS}),
+core AS (SELECT * FROM p WHERE venue IN ('1-URGENT', '2-HIGH')),
+cited AS (
+    SELECT DISTINCT l_partkey AS paper_id FROM lineitem
+    WHERE l_orderkey IN (SELECT paper_id FROM core) AND l_partkey IN (SELECT paper_id FROM p WHERE venue NOT IN ('1-URGENT', '2-HIGH'))),
+reduced AS (SELECT * FROM p WHERE paper_id IN (SELECT paper_id FROM core UNION SELECT paper_id FROM cited)),
+train AS (SELECT * FROM reduced WHERE year BETWEEN 1995 AND 1999),
+eval AS (SELECT * FROM reduced WHERE year = 2000 AND venue IN ('1-URGENT', '2-HIGH'))
+"""
+_NORM = r"trim(regexp_replace(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}_\s]', '', 'g'), '\s+', ' ', 'g'))"
+_TITLES = "SELECT doc_id AS pos, doc_id::VARCHAR AS paper_id, substr(text, 1, 60) AS title, source AS venue, (2000 + doc_id % 20)::INTEGER AS year FROM documents"
+_REFS = f"SELECT pos AS ref_id, substr(title, 1, 50) || '!' AS title, CASE WHEN pos % 3 <> 0 THEN year END AS year FROM ({_TITLES})"
+
+
+# --- graph and splits ----------------------------------------------------------------------------
+
+
+@_query(_GRAPH + "SELECT * FROM core")
+def q_core_set(spark, sf_dir):
+    return graph.core_papers(papers(spark, sf_dir), CORE)
+
+
+@_query(_GRAPH + "SELECT * FROM cited")
+def q_cited_set(spark, sf_dir):
+    return graph.cited_ids(papers(spark, sf_dir), edges(spark, sf_dir), CORE)
+
+
+@_query(_GRAPH + "SELECT * FROM reduced")
+def q_reduced_graph(spark, sf_dir):
+    return graph.reduce_graph(papers(spark, sf_dir), edges(spark, sf_dir), CORE)
+
+
+def _split(spark, sf_dir):
+    return graph.split_papers(q_reduced_graph(spark, sf_dir), CORE, TRAIN, EVAL)
+
+
+@_query(_GRAPH + "SELECT * FROM train")
+def q_train(spark, sf_dir):
+    return _split(spark, sf_dir)[0]
+
+
+@_query(_GRAPH + "SELECT * FROM eval")
+def q_eval(spark, sf_dir):
+    return _split(spark, sf_dir)[1]
+
+
+@_query(_GRAPH + "SELECT part, venue, count(*) AS n FROM (SELECT 'train' AS part, venue FROM train UNION ALL SELECT 'eval', venue FROM eval) GROUP BY part, venue")
+def q_split_counts(spark, sf_dir):
+    train, evaluation = _split(spark, sf_dir)
+    both = train.select(F.lit("train").alias("part"), "venue").unionByName(evaluation.select(F.lit("eval").alias("part"), "venue"))
+    return both.groupBy("part", "venue").agg(F.count("*").alias("n"))
+
+
+_CALENDAR_SQL = ", ".join(f"('{v}', {a}, {b}, '{p}')" for v, (a, b, p) in CALENDAR.items())
+
+
+@_query(f"""
+WITH c(venue, a, b, parity) AS (VALUES {_CALENDAR_SQL}),
+cells AS (SELECT venue, unnest(range(a, b + 1))::INTEGER AS year, parity FROM c),
+n AS (SELECT year, count(*) AS papers FROM ({_PAPERS}) GROUP BY year)
+SELECT venue, cells.year, coalesce(papers, 0) AS papers FROM cells LEFT JOIN n ON n.year = cells.year
+WHERE parity = '' OR (cells.year % 2 = 0) = (parity = 'even')""")
+def q_calendar(spark, sf_dir):
+    counts = papers(spark, sf_dir).groupBy("year").agg(F.count("*").alias("papers"))
+    return graph.calendar(spark).join(counts, "year", "left").select("venue", "year", F.coalesce("papers", F.lit(0)).alias("papers"))
+
+
+# --- ids, titles, years, paths -------------------------------------------------------------------
+
+_DIGEST = "sha1(unhex('f47ac10b58cc4372a5670d02b2c3d479') || encode(key))"
+
+
+@_query(rf"""
+WITH k AS (
+    SELECT pos, concat_ws('|', regexp_replace(lower(title), '^\s+|\s+$', '', 'g'), venue, year::VARCHAR, paper_id) AS key FROM ({_TITLES})),
+d AS (SELECT pos, {_DIGEST} AS h FROM k)
+SELECT pos, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-'
+    || substr('89ab', (instr('0123456789abcdef', substr(h, 17, 1)) - 1) % 4 + 1, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12) AS paper_id FROM d""")
+def q_paper_id(spark, sf_dir):
+    rows = titles(spark, sf_dir)
+    return rows.select("pos", text.paper_id(F.col("title"), F.col("venue"), F.col("year"), F.col("paper_id")).alias("paper_id"))
+
+
+@_query(f"WITH t AS ({_TITLES}) SELECT pos, title FROM t WHERE title IN (SELECT title FROM t GROUP BY title HAVING count(*) > 1)")
+def q_dup_ids(spark, sf_dir):
+    return corpus.duplicates(titles(spark, sf_dir).select("pos", "title"), "title").select("pos", "title")
+
+
+@_query(f"SELECT paper_id, venue, year, row_number() OVER (ORDER BY year, venue, paper_id) - 1 AS pos FROM ({_PAPERS})")
+def q_corpus_sorted_pos(spark, sf_dir):
+    return corpus.in_order(papers(spark, sf_dir), "year", "venue", "paper_id")
+
+
+@_query(f"SELECT pos, {_NORM.format('title')} AS norm FROM ({_TITLES})")
+def q_title_norm(spark, sf_dir):
+    return titles(spark, sf_dir).select("pos", text.normalize_title(F.col("title")).alias("norm"))
+
+
+_YEAR_CASES = """CASE o_orderkey % 6
+    WHEN 0 THEN '[12] A. Lee. Deep nets. ' || y || '. Some venue' WHEN 1 THEN 'Lee et al. (' || y || 'a) Ann Lee. Title.'
+    WHEN 2 THEN 'A. Lee, Title, pp. 1998-2005, ' || y WHEN 3 THEN 'Lee [' || y || 'b] Title' WHEN 4 THEN 'arXiv 1905.12345 in ' || y || ' preprint' ELSE 'Caption without date' END"""
+
+
+@_query(rf"""
+WITH r AS (SELECT o_orderkey AS id, {_YEAR_CASES} AS ref FROM (SELECT o_orderkey, year(o_orderdate)::VARCHAR AS y FROM orders)),
+m AS (SELECT id, regexp_extract(ref, '\[(\d{{4}})[a-z]?\]', 1) AS a, regexp_extract(ref, '\((\d{{4}})[a-z]?\)', 1) AS b,
+    regexp_extract(ref, '(?:^|\s)(\d{{4}})[a-z]?\.', 1) AS c, regexp_extract(ref, ',\s*(\d{{4}})[a-z]?\s*\.?\s*$', 1) AS d,
+    regexp_extract_all(ref, '\b((?:19|20)\d{{2}})\b', 1) AS e FROM r)
+SELECT id, coalesce(nullif(a, ''), nullif(b, ''), nullif(c, ''), nullif(d, ''), e[-1])::INTEGER AS year FROM m""")
+def q_year_extract(spark, sf_dir):
+    years = _table(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("y"))
+    return years.select(F.col("o_orderkey").alias("id"), text.extract_year(F.expr(_YEAR_CASES)).alias("year"))
+
+
+@_query(r"""
+WITH p AS (SELECT page_id, 'x/grobid_output/' || page_id || '/2020/p' || page_id || '_Deep_Nets.grobid.tei.xml' AS path FROM pages)
+SELECT page_id, '/root/citation_contexts/' || page_id || '/2020/p' || page_id || '_Deep_Nets.json' AS context_path, 'Deep Nets.grobid.tei' AS title FROM p""")
+def q_path_map(spark, sf_dir):
+    made = _table(spark, sf_dir, "pages").select("page_id", F.format_string("x/grobid_output/%1$d/2020/p%1$d_Deep_Nets.grobid.tei.xml", "page_id").alias("path"))
+    return made.select("page_id", paths.corpus_to_contexts(F.col("path"), "/root/citation_contexts").alias("context_path"), paths.title_of_file(F.col("path")).alias("title"))
+
+
+@_query("""
+SELECT d.doc_id, coalesce('tei/' || l.doc_id, 'ocr/' || c.conv_id, '') AS source_path FROM documents d
+LEFT JOIN labels l ON l.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT conv_id FROM conversations) c ON c.conv_id = d.doc_id""")
+def q_source_priority(spark, sf_dir):
+    tei = _table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("tei/"), F.col("doc_id").cast("string")).alias("path"))
+    ocr = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id")).distinct().withColumn("path", F.concat(F.lit("ocr/"), F.col("doc_id").cast("string")))
+    return corpus.pick_sources(_table(spark, sf_dir, "documents").select("doc_id"), {"tei": tei, "ocr": ocr}, "doc_id")
+
+
+# --- resolution ----------------------------------------------------------------------------------
+
+_DICT = f"SELECT norm, arg_min(paper_id, pos) AS matched_paper_id, arg_min(title, pos) AS matched_title, arg_min(venue, pos) AS venue FROM (SELECT *, {_NORM.format('title')} AS norm FROM ({_TITLES})) GROUP BY norm"
+
+
+@_query(f"SELECT r.ref_id, d.matched_paper_id, d.venue FROM (SELECT *, {_NORM.format('title')} AS norm FROM (SELECT pos AS ref_id, title FROM ({_TITLES}))) r LEFT JOIN ({_DICT}) d ON d.norm = r.norm")
+def q_exact_resolve(spark, sf_dir):
+    every = titles(spark, sf_dir)
+    asked = every.select(F.col("pos").alias("ref_id"), "title")
+    return resolve.exact_matches(asked, every).select("ref_id", "matched_paper_id", "venue")
+
+
+_STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
+
+
+@_query(f"""
+WITH t AS (SELECT pos, year AS paper_year, {_NORM.format('title')} AS norm FROM ({_TITLES})),
+r AS (SELECT ref_id, year AS ref_year, {_NORM.format('title')} AS norm FROM ({_REFS})),
+tw AS (SELECT DISTINCT pos, paper_year, w FROM (SELECT pos, paper_year, unnest(string_split(norm, ' ')) AS w FROM t) WHERE w NOT IN ('', {_STOP})),
+rw AS (SELECT DISTINCT ref_id, ref_year, w FROM (SELECT ref_id, ref_year, unnest(string_split(norm, ' ')) AS w FROM r) WHERE w NOT IN ('', {_STOP})),
+c AS (SELECT ref_id, pos, count(*) AS overlap FROM rw JOIN tw ON rw.w = tw.w AND (ref_year IS NULL OR abs(paper_year - ref_year) <= 1) GROUP BY ref_id, pos),
+k AS (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY overlap DESC, pos)::INTEGER AS rank FROM c)
+SELECT ref_id, pos, overlap, rank FROM k WHERE rank <= 25""")
+def q_fuzzy_candidates_top25(spark, sf_dir):
+    return resolve.candidates(refs(spark, sf_dir), titles(spark, sf_dir)).select("ref_id", "pos", "overlap", "rank")
+
+
+@_query(None)
+def q_fuzzy_best(spark, sf_dir):
+    return resolve.fuzzy_matches(refs(spark, sf_dir), titles(spark, sf_dir))
+
+
+@_query(None)
+def q_resolve(spark, sf_dir):
+    return resolve.with_flags(resolve.resolve(refs(spark, sf_dir), titles(spark, sf_dir)))
+
+
+@_query(f"""
+WITH m AS (SELECT CASE WHEN d.norm IS NULL THEN 'no_match' ELSE 'exact' END AS match_type
+    FROM (SELECT {_NORM.format("title || CASE WHEN ref_id % 2 = 0 THEN '' ELSE ' zzzq' END")} AS norm FROM (SELECT pos AS ref_id, title FROM ({_TITLES}))) r LEFT JOIN ({_DICT}) d ON d.norm = r.norm)
+SELECT coalesce(match_type, 'total') AS match_type, count(*) AS n FROM m GROUP BY ROLLUP (match_type)""")
+def q_match_stats(spark, sf_dir):
+    every = titles(spark, sf_dir)
+    asked = every.select(F.col("pos").alias("ref_id"), F.concat("title", F.when(F.col("pos") % 2 == 0, F.lit("")).otherwise(F.lit(" zzzq"))).alias("title"))
+    kind = F.when(F.col("matched_paper_id").isNull(), "no_match").otherwise("exact")
+    return resolve.match_stats(resolve.exact_matches(asked, every).select(kind.alias("match_type")))
+
+
+@_query(f"""
+SELECT r.ref_id, d.norm IS NOT NULL AS in_dataset, coalesce(lower(d.venue) IN ('src0', 'src1', 'src2'), false) AS in_conference_list
+FROM (SELECT ref_id, {_NORM.format('title')} AS norm FROM ({_REFS})) r LEFT JOIN ({_DICT}) d ON d.norm = r.norm""")
+def q_flags(spark, sf_dir):
+    found = resolve.exact_matches(refs(spark, sf_dir), titles(spark, sf_dir))
+    kind = F.when(F.col("matched_paper_id").isNull(), "no_match").otherwise("exact")
+    typed = found.select("ref_id", kind.alias("match_type"), F.coalesce("venue", F.lit("")).alias("matched_venue"))
+    return resolve.with_flags(typed, ("src0", "src1", "src2")).select("ref_id", "in_dataset", "in_conference_list")
+
+
+# --- labels --------------------------------------------------------------------------------------
+
+
+def _label_edges(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select(F.col("source").alias("paper_id"), F.col("doc_id").cast("string").alias("target"))
+
+
+def _scores(spark, sf_dir):
+    both = _table(spark, sf_dir, "labels").join(_table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    return both.select(F.col("source").alias("paper_id"), F.col("doc_id").cast("string").alias("target"), F.col("doc_id").alias("row_pos"), F.col("quality").cast("string").alias("type_1_output"), F.lit("x").alias("type_2_output"), F.col("toxic").cast("string").alias("type_3_output"))
+
+
+@_query("""
+SELECT d.source AS paper_id, d.doc_id::VARCHAR AS target, coalesce(quality::VARCHAR, '') AS type_1_output, '' AS type_2_output, coalesce(toxic::VARCHAR, '') AS type_3_output
+FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def q_labels_left(spark, sf_dir):
+    return labels.attach_labels(_label_edges(spark, sf_dir), _scores(spark, sf_dir))
+
+
+@_query("""
+SELECT d.source AS paper_id, d.doc_id::VARCHAR AS target FROM documents d
+WHERE d.source IN (SELECT source FROM documents JOIN labels USING (doc_id)) AND d.doc_id NOT IN (SELECT doc_id FROM labels)""")
+def q_labels_missing(spark, sf_dir):
+    return labels.missing_labels(_label_edges(spark, sf_dir), _scores(spark, sf_dir))
+
+
+@_query("SELECT l_orderkey AS paper_id, l_partkey AS matched_paper_id, count(*) AS n FROM lineitem GROUP BY ALL")
+def q_nested_roundtrip(spark, sf_dir):
+    """Edges nested by paper, encoded as JSON, decoded and exploded again."""
+    listed = edges(spark, sf_dir).groupBy("paper_id").agg(F.sort_array(F.collect_list(F.struct("matched_paper_id"))).alias("refs"))
+    back = listed.withColumn("refs", F.from_json(F.to_json("refs"), "array<struct<matched_paper_id:bigint>>")).select("paper_id", F.inline("refs"))
+    return back.groupBy("paper_id", "matched_paper_id").agg(F.count("*").alias("n"))
+
+
+# --- contexts ------------------------------------------------------------------------------------
+
+_SENTENCES_SQL = "['Intro of ' || o_orderkey || '.', 'Work (citation #b' || (o_orderkey % 3) || ') and (citation #b' || (o_orderkey % 5) || ').', 'Middle part.', 'Again (citation #b' || (o_orderkey % 3) || ').', 'End.']"
+
+
+def _sentences(spark, sf_dir):
+    key = F.col("o_orderkey").cast("string")
+    mod = lambda n: (F.col("o_orderkey") % n).cast("string")
+    made = F.array(F.concat(F.lit("Intro of "), key, F.lit(".")), F.concat(F.lit("Work (citation #b"), mod(3), F.lit(") and (citation #b"), mod(5), F.lit(").")), F.lit("Middle part."), F.concat(F.lit("Again (citation #b"), mod(3), F.lit(").")), F.lit("End."))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", made.alias("sentences"))
+
+
+_WINDOWS = rf"""
+WITH s AS (SELECT o_orderkey, {_SENTENCES_SQL} AS sentences FROM orders),
+p AS (SELECT o_orderkey, sentences, unnest(range(0, len(sentences))) AS sentence_pos FROM s),
+m AS (SELECT o_orderkey, sentences, sentence_pos, unnest(list_distinct(regexp_extract_all(sentences[sentence_pos + 1], '\(citation #([^)]+)\)', 1))) AS target FROM p),
+w AS (SELECT o_orderkey, sentence_pos::INTEGER AS sentence_pos, target, array_to_string(sentences[greatest(0, least(sentence_pos - 1, len(sentences) - 3)) + 1:greatest(0, least(sentence_pos - 1, len(sentences) - 3)) + 3], ' ') AS context FROM m)
+"""
+
+
+@_query(_WINDOWS + "SELECT o_orderkey, target, count(*) AS n FROM m GROUP BY ALL")
+def q_markers(spark, sf_dir):
+    rows = contexts.windows_of_sentences(_sentences(spark, sf_dir), "sentences")
+    return rows.groupBy("o_orderkey", "target").agg(F.count("*").alias("n"))
+
+
+@_query(_WINDOWS + "SELECT * FROM w")
+def q_window3(spark, sf_dir):
+    return contexts.windows_of_sentences(_sentences(spark, sf_dir), "sentences").select("o_orderkey", "sentence_pos", "target", "context")
+
+
+@_query(_WINDOWS + "SELECT o_orderkey, target, context, min(sentence_pos) AS sentence_pos FROM w GROUP BY ALL")
+def q_ctx_dedupe(spark, sf_dir):
+    rows = contexts.windows_of_sentences(_sentences(spark, sf_dir), "sentences")
+    return contexts.first_occurrences(rows, ["o_orderkey", "target", "context"], ["sentence_pos"]).select("o_orderkey", "target", "context", "sentence_pos")
+
+
+@_query("""
+SELECT conv_id, turn, coalesce(last_value(CASE WHEN role = 'user' THEN 'u' || turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), '') AS section
+FROM conversations""")
+def q_section_ffill(spark, sf_dir):
+    heads = _table(spark, sf_dir, "conversations").select("conv_id", "turn", F.when(F.col("role") == "user", F.concat(F.lit("u"), F.col("turn").cast("string"))).alias("head"))
+    return contexts.forward_fill(heads, ["conv_id"], ["turn"], "head", "section").select("conv_id", "turn", F.coalesce("section", F.lit("")).alias("section"))
+
+
+@_query("""
+WITH f AS (SELECT *, CASE WHEN event_type = lag(event_type) OVER w THEN 0 ELSE 1 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+r AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM f)
+SELECT user_id, run::BIGINT AS run, event_type, count(*) AS n FROM r GROUP BY ALL""")
+def q_run_merge(spark, sf_dir):
+    runs = contexts.run_ids(_table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], "event_type")
+    return runs.groupBy("user_id", "run", "event_type").agg(F.count("*").alias("n"))
+
+
+@_query("""
+WITH o AS (SELECT conv_id, turn * 10 AS pos FROM conversations),
+s AS (SELECT conv_id, min(turn) * 10 AS start, max(turn) * 10 AS "end", 'part' || conv_id AS label FROM conversations GROUP BY conv_id)
+SELECT o.conv_id, o.pos, coalesce(s.label, '') AS section FROM o LEFT JOIN s ON s.conv_id = o.conv_id AND s.start <= o.pos AND o.pos < s."end" """)
+def q_section_of_occurrence(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    found = turns.select("conv_id", (F.col("turn") * 10).alias("pos"))
+    spans = turns.groupBy("conv_id").agg((F.min("turn") * 10).alias("start"), (F.max("turn") * 10).alias("end")).withColumn("label", F.concat(F.lit("part"), F.col("conv_id").cast("string")))
+    return contexts.section_of(found, spans, ["conv_id"])
+
+
+# --- prompts and resume --------------------------------------------------------------------------
+
+
+def _prompt_refs(spark, sf_dir):
+    turns = _table(spark, sf_dir, "conversations")
+    listed = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
+    made = F.when(F.col("conv_id") % 4 == 0, F.array().cast("array<struct<section:string,context:string>>")).otherwise(F.transform("t", lambda x: F.struct(x["role"].alias("section"), x["text"].alias("context"))))
+    return listed.select(
+        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("paper_file"), F.lit("Paper").alias("paper_title"), F.concat(F.lit("b"), (F.col("conv_id") % 7).cast("string")).alias("target"), F.lit("T").alias("title"),
+        F.lit("[1]").alias("cite"), made.alias("contexts"), (F.col("conv_id") % 2 == 0).alias("in_dataset"), (F.col("conv_id") % 3 == 0).alias("in_conference_list"),
+    )
+
+
+_PROMPT_REFS = """
+WITH c AS (SELECT conv_id, CASE WHEN conv_id % 4 = 0 THEN '' ELSE string_agg(i || '. Section: "' || role || '"' || chr(10) || '   Context: "' || text || '"', chr(10) ORDER BY turn) END AS said
+    FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i FROM conversations) GROUP BY conv_id),
+k AS (SELECT * FROM c WHERE conv_id % 2 = 0 OR conv_id % 3 = 0)
+"""
+
+
+def _prompt_sql(kind: int) -> str:
+    return f"""SELECT 'c' || conv_id AS paper_file, 'b' || (conv_id % 7) AS target, {kind} AS prompt_type, conv_id % 4 = 0 AS is_empty,
+        'ref_b' || (conv_id % 7) || '_type_{kind}' || CASE WHEN conv_id % 4 = 0 THEN '_empty' ELSE '' END || '.txt' AS file_name,
+        '[SYSTEM]' || chr(10) || '{prompts.SYSTEM[kind]}' || chr(10) || chr(10) || '[USER]' || chr(10) || 'Paper Title: Paper' || chr(10) || chr(10) || 'Citation: "cited_as": "[1]", "title": "T"' || chr(10) || chr(10)
+        || 'Citation Contexts:' || chr(10) || said || chr(10) || chr(10) || '{prompts.QUESTION[kind].replace(chr(39), chr(39) * 2).replace(chr(10), "' || chr(10) || '")}' AS text FROM k""".replace("paper's", "paper''s")
+
+
+@_query(_PROMPT_REFS + _prompt_sql(1) + " UNION ALL " + _prompt_sql(2))
+def q_prompt_build(spark, sf_dir):
+    return prompts.build_prompts(_prompt_refs(spark, sf_dir))
+
+
+@_query("""
+SELECT 'c' || conv_id AS paper_file, 1::BIGINT AS total, CASE WHEN conv_id % 2 = 0 OR conv_id % 3 = 0 THEN 2 ELSE 0 END::BIGINT AS generated, CASE WHEN conv_id % 4 = 0 THEN 2 ELSE 0 END::BIGINT AS empty
+FROM (SELECT DISTINCT conv_id FROM conversations)""")
+def q_prompt_stats(spark, sf_dir):
+    return prompts.prompt_stats(_prompt_refs(spark, sf_dir))
+
+
+def _status(spark, sf_dir):
+    state = F.when(F.col("toxic") == 1, "error").when(F.col("quality") == 0, "skipped").otherwise("processed")
+    return _table(spark, sf_dir, "labels").select(F.lit("contexts").alias("stage"), F.col("doc_id").alias("output_path"), state.alias("status"))
+
+
+@_query("SELECT doc_id AS output_path FROM documents WHERE doc_id NOT IN (SELECT conv_id FROM conversations) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic IS DISTINCT FROM 1)")
+def q_resume_todo(spark, sf_dir):
+    inputs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("output_path"))
+    outputs = _table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("output_path"))
+    return incremental.to_do(inputs, outputs, _status(spark, sf_dir), retry_errors=True)
+
+
+@_query("SELECT 'contexts' AS stage, CASE WHEN toxic = 1 THEN 'error' WHEN quality = 0 THEN 'skipped' ELSE 'processed' END AS status, count(*) AS n FROM labels GROUP BY ALL")
+def q_status_counts(spark, sf_dir):
+    return incremental.status_counts(_status(spark, sf_dir))
+
+
+@_query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
+def q_event_counts(spark, sf_dir):
+    return incremental.running_counts(_table(spark, sf_dir, "events"))
