@@ -1,8 +1,69 @@
-"""Corpus pipeline: language ID, exact dedup, near-duplicate removal, mixing, encoding."""
+"""Corpus pipeline over ``documents``: language ID, exact dedup, near-duplicate removal, mixing to
+target weights, SentencePiece encoding.
 
-STAGES: list = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and
+read again as the next stage's docs. All but the last return the columns of ``documents``. All
+stages handle nulls in any column, empty texts, repeated rows, empty tables and extra columns, which
+they pass on (the last returns ids and digests only).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from citeloom.llm import exact_dedup, language_id, mixing, ngram_join, sentencepiece_codec
+from citeloom.llm.common import stage
+from citeloom.llm.queries import piece_model
+
+#: Documents with letters are rejected below this share of n-grams that their language accounts for.
+MIN_HIT_RATE = 0.1
+#: Texts of fewer characters are kept if they have a letter: too short for that test.
+MIN_CHARS = 40
+
+
+def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the learned languages; texts without letters or like none of them go.
+
+    The model learns from the labelled documents outside the held-out quarter.
+    """
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    return language_id.known_rows(docs, model, MIN_HIT_RATE, MIN_CHARS)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts: the one with the smallest id."""
+    return exact_dedup.kept_rows(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of similar documents (five words, 80 per cent): the smallest id."""
+    return ngram_join.one_of_each(docs, width=5, percent=80)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them; a document that it cuts off ends at that word."""
+    return mixing.mixed_rows(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of every document's ids and decoded text."""
+    return sentencepiece_codec.digests(sentencepiece_codec.encode(docs, piece_model()))
+
+
+STAGES = [
+    ("language_id", language_filter),
+    ("exact_dedup", exact_duplicates),
+    ("near_dedup", near_duplicates),
+    ("mixing", mix),
+    ("sentencepiece", encode),
+]
+
+#: Language models and vocabularies can't be expressed in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, step in STAGES[:-1]:
+        docs = stage(step(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
