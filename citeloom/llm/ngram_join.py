@@ -229,10 +229,11 @@ def _can_link(percent: int) -> Column:
     return (100 + percent) * F.least("room_a", "room_b").cast("long") >= percent * (F.col("n_a").cast("long") + F.col("n_b"))
 
 
-def similar_components(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """One row per input row: id, ``n_shingles`` and ``component_id`` (the smallest id reachable by links)."""
+def _members_and_labels(df: DataFrame, text_col: str, id_col: str, width: int, percent: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Staged texts (with the carried columns) and ``rid``, ``id``, ``n``, ``class_id``, ``component``."""
     spark = df.sparkSession
-    texts = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text")), "texts")
+    row = F.struct(*[F.col(c) for c in carried]).alias("row") if carried else F.lit(None).cast("int").alias("row")
+    texts = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"), row), "texts")
     measured = stage(texts.select("rid", "text").mapInArrow(_measure(width), "rid long, key binary, n int, chunk int, counts binary"), "measured")
     levels, frequent = token_levels(measured)
     rows = measured.filter("chunk IS NULL").select("rid", "key", "n")
@@ -279,8 +280,29 @@ def similar_components(df: DataFrame, text_col: str = "text", id_col: str = "doc
 
     ids = members.filter("rid = rep").select("rep", "class_id").join(joined, F.col("rep") == F.col("node"))
     smallest = ids.groupBy("root").agg(F.min("class_id").alias("component"))
-    labels = ids.select("rep", "root").join(smallest, "root").select("rep", "component")
+    labels = ids.select("rep", "root").join(smallest, "root").select("rep", "root", "component")
     out = members.join(labels, "rep", "left")
     for done in (buckets, scored, in_mixed):
         drop_staged(done)
+    return texts, out
+
+
+def similar_components(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, ``n_shingles`` and ``component_id`` (the smallest id reachable by links)."""
+    _, out = _members_and_labels(df, text_col, id_col, width, percent, [])
     return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"))
+
+
+def one_of_each(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``df`` with one row of each component, the one with the smallest id, and all columns.
+
+    Rows without shingles are linked with nothing and stay.
+    """
+    rest = [c for c in df.columns if c not in (text_col, id_col)]
+    texts, out = _members_and_labels(df, text_col, id_col, width, percent, rest)
+    # Rows of a component share its smallest row number and class; a row alone has its own.
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
+    first = out.filter("root IS NOT NULL OR n > 0").groupBy(F.coalesce("root", "rep").alias("c")).agg(F.min(place).alias("first")).select("first.rid")
+    stay = stage(first.unionByName(out.filter("root IS NULL AND n = 0").select("rid")), "stay")
+    kept = texts.join(stay, "rid", "left_semi")
+    return kept.select(*[F.col("id").alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns])
