@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.functions import paths, text
-from citeloom.operators import contexts, corpus, graph, labels, prompts, resolve
+from citeloom.functions import citations, paths, text
+from citeloom.functions.sentences import sentences
+from citeloom.operators import contexts, corpus, extract, graph, labels, prompts, resolve
 from citeloom.schema import CALENDAR, STOP_WORDS
 from citeloom.streaming import incremental
 
@@ -403,3 +404,68 @@ def q_status_counts(spark, sf_dir):
 @_query("SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def q_event_counts(spark, sf_dir):
     return incremental.running_counts(_table(spark, sf_dir, "events"))
+
+
+# --- parsers -------------------------------------------------------------------------------------
+
+
+@_query(None)
+def q_sentences(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return docs.select("doc_id", F.posexplode(sentences("text")).alias("sentence_pos", "sentence"))
+
+
+_BODY = """CASE o_orderkey % 4 WHEN 0 THEN 'Lee et al. (2019) and Kim (2020) but [1].' WHEN 1 THEN 'as in [1, 2] and [3] or [ABC17]' WHEN 2 THEN 'tags [DKS19] and [GDDM14] here' ELSE 'nothing' END || ' No ' || o_orderkey"""
+
+
+@_query(r"""
+WITH b AS (SELECT o_orderkey, BODY AS body FROM orders),
+v AS (SELECT o_orderkey, len(regexp_extract_all(body, '[A-Z][a-z]+(?:\s+(?:and|et)\s+[A-Za-z. ]+?)?\s*[\(\[]\d{4}[a-z]?[\)\]]')) AS author_year,
+    len(regexp_extract_all(body, '\[\d+(?:,\s*\d+)*\]')) AS numeric, len(regexp_extract_all(body, '\[[A-Z][A-Za-z+\\(){}^]+\d{2,4}[a-z]?\]')) AS alpha_tag FROM b)
+SELECT *, CASE WHEN author_year > greatest(numeric, alpha_tag) THEN 'author_year' WHEN numeric >= alpha_tag THEN 'numeric' ELSE 'alpha_tag' END AS style FROM v""".replace("BODY", _BODY))
+def q_style_vote(spark, sf_dir):
+    body = _table(spark, sf_dir, "orders").select("o_orderkey", F.expr(_BODY).alias("body"))
+    count = lambda p: F.regexp_count("body", F.lit(p.pattern)).cast("long")
+    votes = body.select("o_orderkey", count(citations.AUTHOR_YEAR).alias("author_year"), count(citations.NUMERIC).alias("numeric"), count(citations.ALPHA_TAG).alias("alpha_tag"))
+    style = F.when(F.col("author_year") > F.greatest("numeric", "alpha_tag"), "author_year").when(F.col("numeric") >= F.col("alpha_tag"), "numeric").otherwise("alpha_tag")
+    return votes.withColumn("style", style)
+
+
+def _parsed(spark, sf_dir, source: str, document: str):
+    docs = _table(spark, sf_dir, "orders").filter("o_orderkey % 10 < 3").select("o_orderkey", F.expr(document).alias("content"))
+    rows = extract.references_of(extract.extract_contexts(docs, source), ["o_orderkey"])
+    return rows.select("o_orderkey", "target", "source_id", "title", F.col("year").cast("long").alias("year"), F.inline("contexts")).select("o_orderkey", "target", "source_id", "title", "year", "section", "context")
+
+
+_TEI = """concat('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><head n="1">Intro</head><p>First of ', o_orderkey, '. We use <ref type="bibr" target="#b1">[1]</ref> here</p><formula>x = ', o_orderkey,
+'</formula><p>and go on. Last one.</p></div></body><back><div><listBibl><biblStruct xml:id="b0"><analytic><title>No year here</title></analytic></biblStruct><biblStruct xml:id="b1"><analytic><title type="main">Paper ', o_orderkey,
+'</title></analytic><monogr><imprint><date when="2004-05"/></imprint></monogr></biblStruct></listBibl></div></back></text></TEI>')"""
+
+
+@_query("""
+SELECT o_orderkey, 'b0' AS target, 'b1' AS source_id, 'Paper ' || o_orderkey AS title, 2004::BIGINT AS year, '1 Intro' AS section,
+    'First of ' || o_orderkey || '. We use (citation #b1) here x = ' || o_orderkey || ' and go on. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+def q_tei_contexts(spark, sf_dir):
+    return _parsed(spark, sf_dir, "tei", _TEI)
+
+
+_OCR = r"""concat('# Paper\n\n## 1 Intro\n\nFirst of ', o_orderkey, '. We follow [2] here. Last one.\n\n## References\n\n* [1] A. Lee. Deep nets of no known date at all. Unknown venue.\n* [2] B. Kim. Forests of number ', o_orderkey,
+' and more. In Proc., 2020.\n* [3] C. Elm. Small trees of the north. 2018.\n')"""
+
+
+@_query("""
+SELECT o_orderkey, 'b0' AS target, 'b1' AS source_id, 'Forests of number ' || o_orderkey || ' and more' AS title, 2020::BIGINT AS year, '1 Intro' AS section,
+    'First of ' || o_orderkey || '. We follow [2] here. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+def q_ocr_contexts(spark, sf_dir):
+    return _parsed(spark, sf_dir, "ocr", _OCR)
+
+
+_ALT = r"""concat('# T\n\n## 1 Intro\n\nFirst of ', o_orderkey, ' it is. We follow [1, 9] here. Last one.\n\n## References\n\n- [1] Oak. Growing ', o_orderkey, ' forests. In *Venue*, 2001.\n- [2] Elm. Small Trees. arXiv 2002.\n- [3] Ash. Other things. In *X*, 2003.\n')"""
+
+
+@_query("""
+SELECT o_orderkey, 'b0' AS target, '1' AS source_id, 'Growing ' || o_orderkey || ' forests' AS title, coalesce(nullif(regexp_extract(o_orderkey::VARCHAR, '(?:19|20)\\d\\d'), '')::BIGINT, 2001) AS year, '1 Intro' AS section,
+    'First of ' || o_orderkey || ' it is. We follow (citation #1)[9] here. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+def q_alt_contexts(spark, sf_dir):
+    """The year is the first 19xx or 20xx of the entry, be it part of another number."""
+    return _parsed(spark, sf_dir, "alt", _ALT)
