@@ -33,13 +33,24 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _LOCAL_DIR[0]
 
 
+def stage_root(spark: SparkSession) -> str:
+    """Folder of this application's staged tables."""
+    return f"{shared_dir(spark)}/citeloom-stage/{spark.sparkContext.applicationId}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Delete all staged tables of this application; results that still read them must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(stage_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors.
 
     Row numbers made by ``monotonically_increasing_id`` become stable once staged.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/citeloom-stage/{label}-{uuid.uuid4().hex}"
+    path = f"{stage_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
