@@ -64,6 +64,18 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of an Arrow batch that goes to a Python worker: documents may be long.
+BATCH_ROWS = 500
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for this session, unless it has a setting of its own: at Spark's default
+    a batch holds 10,000 documents, in the executor as well as in its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def row_ids(df: DataFrame, *columns: Column) -> DataFrame:
     """``columns`` of ``df`` with a unique row number ``rid``; stage the result before using it twice."""
     return df.select(F.monotonically_increasing_id().alias("rid"), *columns)

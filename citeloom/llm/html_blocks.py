@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import bound_batches
 from citeloom.llm.shingles import word_hashes
 
 PATH_SIZE, WORD_SIZE, MEASURES = 256, 32, 8
@@ -436,6 +437,7 @@ def _extract(shared, html_col: str):
 
 def extract(df: DataFrame, net: Labeller | None = None, html_col: str = "html", id_cols: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """One row per input row: the id columns, ``text`` and ``n_chars`` (its code points)."""
+    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(net or default_labeller())  # weights of fixed size
     ids = df.select(*id_cols).schema
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ids)

@@ -26,6 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import bound_batches
 from citeloom.llm.shingles import mix, text_chunks
 
 GRAM = 4
@@ -147,6 +148,7 @@ def _slot(grams: np.ndarray, k: int) -> np.ndarray:
 
 def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> Model:
     """Fit the filter on a bounded sample of labelled rows; ids only choose the sample."""
+    bound_batches(rows.sparkSession)
     labelled = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).filter("text IS NOT NULL AND lang IS NOT NULL")
     docs = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").limit(65).collect()}
     languages = sorted(docs)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import drop_staged, row_ids, stage
+from citeloom.llm.common import bound_batches, drop_staged, row_ids, stage
 from citeloom.llm.components import components
 from citeloom.llm.shingles import documents_of, mix
 
@@ -232,6 +232,7 @@ def _can_link(percent: int) -> Column:
 def _members_and_labels(df: DataFrame, text_col: str, id_col: str, width: int, percent: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
     """Staged texts (with the carried columns) and ``rid``, ``id``, ``n``, ``class_id``, ``component``."""
     spark = df.sparkSession
+    bound_batches(spark)
     row = F.struct(*[F.col(c) for c in carried]).alias("row") if carried else F.lit(None).cast("int").alias("row")
     texts = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"), row), "texts")
     measured = stage(texts.select("rid", "text").mapInArrow(_measure(width), "rid long, key binary, n int, chunk int, counts binary"), "measured")

@@ -30,12 +30,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import bound_batches
+
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 #: Distinct chunks remembered by a Python worker.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 150_000
 #: Characters of text that a Python worker encodes at once.
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 1 << 20
 #: Chunks of more characters get an agenda of their own.
 LONG_CHUNK = 200
 #: Symbols in the arrays of one joint agenda.
@@ -333,6 +335,7 @@ def encode(df: DataFrame, model_path: str, text_col: str = "text", id_col: str =
     """
     with open(model_path, "rb") as file:
         model = file.read()
+    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = rows.mapInArrow(_run(model), f"id {kind}, ids array<int>, decoded string, agreed boolean")

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text worked on at a time, so that memory stays bounded whatever the batch holds.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
