@@ -6,7 +6,8 @@ words (hashed) and a few measures. A bidirectional LSTM in numpy reads the whole
 so each decision sees the document on both sides, and labels every block as main text or not.
 
 The labeller is trained here, on generated pages (``training_pages``) whose labels are known; the
-number of pages, the seed and the rounds are parameters. The same seed gives the same weights.
+number of pages, the seed and the rounds are parameters. It is trained once, on the driver; the
+executors get its weights.
 
 Defined cases: null or empty html gives the empty text; pages without tags are one block; comments,
 scripts, styles and the head are no blocks; unclosed and stray tags are tolerated; white space inside
@@ -34,7 +35,7 @@ PATH_SIZE, WORD_SIZE, MEASURES = 256, 32, 8
 #: Words count less than paths: few words mark main text by themselves.
 WORD_SCALE = 0.3
 HIDDEN = 16
-TRAIN_PAGES, ROUNDS, SEED = 800, 16, 7
+TRAIN_PAGES, ROUNDS, SEED = 1600, 14, 7
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
