@@ -44,6 +44,8 @@ WIDTH = 4
 PERCENT = 85
 SKETCH_BITS = 20
 SKETCH_CHUNK = 1 << 12
+#: Bits of a document's bitmap, in 64-bit words.
+BITMAP_WORDS = 8
 NEED_BITS = 22
 SALTS = 32
 
@@ -57,29 +59,36 @@ def classes_of(band: int, percent: int) -> int:
     return max(1, (100 - percent) * (1 << band) // 200)
 
 
-# --- keys, sizes and the sketch of token frequencies --------------------------------------------
+# --- keys, sizes, bitmaps and the sketch of token frequencies ------------------------------------
+
+
+def bitmap(tokens: np.ndarray) -> list[int]:
+    """Whether an odd number of tokens falls on each bit: where two bitmaps differ, so do the sets."""
+    odd = np.bincount((tokens & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64), minlength=64 * BITMAP_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
 def _measure(width: int):
-    schema = pa.schema([("rid", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("chunk", pa.int32()), ("counts", pa.binary())])
+    schema = pa.schema([("rid", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("bits", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in batches:
             texts = batch.column(1)
-            sizes = []
+            sizes, bitmaps = [], []
             for tokens in documents_of(texts, width):
                 sizes.append(len(tokens))
+                bitmaps.append(bitmap(tokens))
                 np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             keys = [hashlib.sha256(b" ".join((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split())).digest() for t in texts.cast(pa.binary())]
             none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.list_(pa.int64())), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         parts = sketch.reshape(-1, SKETCH_CHUNK)
         full = np.flatnonzero(parts.any(axis=1))
         if len(full):
             none = pa.nulls(len(full))
             counts = [parts[i].tobytes() for i in full]
-            yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int32()), pa.array(full, pa.int32()), pa.array(counts, pa.binary())], schema=schema)
+            yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), pa.array(full, pa.int32()), pa.array(counts, pa.binary())], schema=schema)
 
     return run
 
@@ -229,15 +238,23 @@ def _can_link(percent: int) -> Column:
     return (100 + percent) * F.least("room_a", "room_b").cast("long") >= percent * (F.col("n_a").cast("long") + F.col("n_b"))
 
 
+def _alike(percent: int) -> Column:
+    """Whether the bitmaps leave room for a link: each bit that differs stands for a token not shared."""
+    word = lambda x, k: F.element_at(f"bits_{x}", k)
+    differ = sum((F.bit_count(word("a", k).bitwiseXOR(word("b", k))) for k in range(2, BITMAP_WORDS + 1)), F.bit_count(word("a", 1).bitwiseXOR(word("b", 1))))
+    both = F.col("n_a").cast("long") + F.col("n_b")
+    return (100 + percent) * (both - differ) >= 2 * percent * both
+
+
 def _members_and_labels(df: DataFrame, text_col: str, id_col: str, width: int, percent: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
     """Staged texts (with the carried columns) and ``rid``, ``id``, ``n``, ``class_id``, ``component``."""
     spark = df.sparkSession
     bound_batches(spark)
     row = F.struct(*[F.col(c) for c in carried]).alias("row") if carried else F.lit(None).cast("int").alias("row")
     texts = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"), row), "texts")
-    measured = stage(texts.select("rid", "text").mapInArrow(_measure(width), "rid long, key binary, n int, chunk int, counts binary"), "measured")
+    measured = stage(texts.select("rid", "text").mapInArrow(_measure(width), "rid long, key binary, n int, bits array<long>, chunk int, counts binary"), "measured")
     levels, frequent = token_levels(measured)
-    rows = measured.filter("chunk IS NULL").select("rid", "key", "n")
+    rows = measured.filter("chunk IS NULL").select("rid", "key", "n", "bits")
     classes = rows.join(texts.select("rid", "id"), "rid")
     least = classes.filter("n > 0").groupBy("key").agg(F.min("rid").alias("rep"), F.min("id").alias("class_id"))
     members = stage(
@@ -271,10 +288,11 @@ def _members_and_labels(df: DataFrame, text_col: str, id_col: str, width: int, p
     placed = scored.join(roots, "id", "left").select("sig", "id", "n", "room", F.coalesce("root", "id").alias("root"))
     counted = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
     mixed = counted.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
-    in_mixed = stage(placed.join(mixed.select("sig", F.col("most.root").alias("major")), "sig"), "mixed")
-    minor = in_mixed.filter("root != major").select("sig", *_side("a"), F.col("root").alias("root_a"))
-    other = in_mixed.select("sig", *_side("b"), F.col("root").alias("root_b"), "major")
-    cross = minor.join(other, "sig").filter("root_a != root_b AND (root_b = major OR root_a < root_b)").filter(_can_link(percent))
+    in_mixed = placed.join(mixed.select("sig", F.col("most.root").alias("major")), "sig")
+    in_mixed = stage(in_mixed.join(rows.select(F.col("rid").alias("id"), "bits"), "id"), "mixed")
+    minor = in_mixed.filter("root != major").select("sig", *_side("a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
+    other = in_mixed.select("sig", *_side("b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"), "major")
+    cross = minor.join(other, "sig").filter("root_a != root_b AND (root_b = major OR root_a < root_b)").filter(_can_link(percent) & _alike(percent))
     distinct = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = stage(verified(stage(distinct, "cross-pairs"), texts, width, percent), "cross-links")
     joined = components(links.unionByName(more)) if not more.isEmpty() else found
