@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import bound_batches
+from citeloom.llm.common import bound_batches, drop_staged, stage
 from citeloom.llm.shingles import mix, text_chunks
 
 GRAM = 4
@@ -166,7 +166,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     total = counts.groupBy("lang").agg(F.sum("n").alias("all"))
     share = kept.join(F.broadcast(total), "lang").withColumn("share", F.col("n") / F.col("all"))  # one row a language: 64 at most
     whole = share.groupBy("gram").agg(F.sum("share").alias("whole"))
-    clear = share.join(whole, "gram").filter(F.col("share") >= SHARE * F.col("whole"))
+    clear = stage(share.join(whole, "gram").filter(F.col("share") >= SHARE * F.col("whole")).select("lang", "gram", "n"), "grams")
     slots = np.zeros(1 << SLOT_BITS, np.uint64)
     for i in range(len(languages)):
         best = clear.filter(F.col("lang") == i).orderBy(F.col("n").desc(), "gram").limit(GRAMS_KEPT).select("gram")
@@ -174,6 +174,7 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
         for k in range(HASHES):
             at = _slot(grams, k)
             slots[at] |= np.uint64(1) << np.uint64(i)
+    drop_staged(clear)
     return Model(languages, slots, max(range(len(languages)), key=lambda i: (docs[languages[i]], -i)))
 
 
