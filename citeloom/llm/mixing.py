@@ -68,7 +68,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes:
 
 
 def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", quantum: int = QUANTUM, passes: int = PASSES, weights: tuple[int, ...] = WEIGHTS, carry: tuple[str, ...] = ()) -> DataFrame:
-    """One staged row per input row: rid, id, ``size``, ``source``, ``source_size``, ``target``,
+    """One row per input row: rid, id, ``size``, ``source``, ``source_size``, ``target``,
     ``taken`` and ``row``, a struct of the columns to carry."""
     text = F.col(text_col)
     shuffled = F.xxhash64(F.col(id_col).cast("string"), text, F.lit(17))
@@ -105,10 +105,11 @@ def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source",
     ordered = with_running_total(packets, "mix", key, ["finish", "rank", "turn", "rid", "packet"], "words", "before", ranges)
     took = ordered.filter(F.col("before") < budget).groupBy("rid").agg(F.sum(F.least(F.col("words"), F.lit(budget) - F.col("before"))).alias("taken"))
     about = targets.select(F.col("source").alias("s__"), "source_size", "target")
-    out = rows.join(about, F.col("source").eqNullSafe(F.col("s__"))).join(took, "rid", "left")
-    out = stage(out.select("rid", "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "row"), "taken")
+    out = rows.drop("row").join(about, F.col("source").eqNullSafe(F.col("s__"))).join(took, "rid", "left")
+    out = stage(out.select("rid", "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), "taken")
     drop_staged(packets)
-    return out
+    # Carried columns are stored once, and join the result where it is read.
+    return out.join(rows.select("rid", "row"), "rid") if carry else out
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
