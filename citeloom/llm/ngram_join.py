@@ -13,7 +13,8 @@ prefixes. Otherwise all the tokens they share are frequent, and the first G + 1
 extended prefixes, so two fall into the same class. G depends on the power of two below the number
 of tokens; a document whose partner may lie below that power indexes the lower G too.
 
-Documents with equal word sequences form one class, of which one document is compared. Buckets of
+Documents with equal word sequences form one class, of which one document is compared; so do those
+of one and the same shingle, be it one word repeated in different numbers. Buckets of
 equal index entries are not expanded into all pairs: first each member is compared with its bucket's
 most central member, and components are formed from the verified links; then only members of
 different components in a bucket are compared. That keeps every link between components, so the components are exact.
@@ -68,6 +69,12 @@ def bitmap(tokens: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def class_key(text: bytes, n: int, width: int) -> bytes:
+    """Digest of the word sequence; of a text of one shingle, of that shingle."""
+    words = text.lower().split()
+    return hashlib.sha256(b" ".join(words[:width] if n == 1 else words)).digest()
+
+
 def _measure(width: int):
     schema = pa.schema([("rid", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("bits", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())])
 
@@ -80,7 +87,7 @@ def _measure(width: int):
                 sizes.append(len(tokens))
                 bitmaps.append(bitmap(tokens))
                 np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-            keys = [hashlib.sha256(b" ".join((t.as_buffer().to_pybytes() if t.is_valid else b"").lower().split())).digest() for t in texts.cast(pa.binary())]
+            keys = [class_key(t.as_buffer().to_pybytes() if t.is_valid else b"", n, width) for t, n in zip(texts.cast(pa.binary()), sizes, strict=True)]
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.list_(pa.int64())), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
         parts = sketch.reshape(-1, SKETCH_CHUNK)
@@ -129,7 +136,7 @@ def prefix_entries(tokens: np.ndarray, levels: np.ndarray, frequent: int, percen
     """Index entries of a document: those of single rare tokens in order, and those of frequent combinations."""
     n = len(tokens)
     none = tokens[:0]
-    if n < 2:  # a set of one token equals any set that it is linked with
+    if n < 2:  # a set of one token equals any set that it is linked with, and those are one class
         return none, none
     level = levels[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
     least = min_shared(n, percent)

@@ -117,3 +117,15 @@ def test_one_of_each(spark):
     rows = kept.collect()
     assert sorted(r.doc_id for r in rows) == want and kept.columns == df.columns
     assert all(r.text == texts[r.doc_id] and r.extra == 2 * r.doc_id for r in rows)
+
+
+@pytest.mark.parametrize(("width", "percent"), [(4, 85), (5, 80)])
+def test_one_word_repeated(spark, width, percent):
+    """Texts of one shingle are equal sets, however often they repeat their word; shorter ones have shingles of their own."""
+    texts = [" ".join(["a"] * k) for k in (1, 3, 4, 5, 6, 9, 40)] + ["A a  a a\na a", "b b b b b", "b b b b b b", "a a a a b", "a a a a a b", "c d e f", "c d e f g"]
+    df = docs(spark, texts)
+    got = ngram_join.similar_components(df, width=width, percent=percent)
+    want = brute_near(texts, width, percent)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
+    kept = ngram_join.one_of_each(df, width=width, percent=percent)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
