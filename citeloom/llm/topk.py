@@ -10,8 +10,8 @@ block of dimensions. Each pair of blocks gives k rows a query at most; the best
 then chosen by score, ties to the smaller id.
 
 Defined cases: vectors that are null, empty or hold a null or a non-finite component take no part;
-only vectors of one length are compared; a component's value is floor(256 * x), held within the
-range of a 32-bit integer, and scores are exact; every row but the query's own is a candidate, a
+only vectors of one length are compared; a component's value is floor(256 * x) and scores
+are exact (a value or score beyond 64 bits fails, as it does in SQL); every row but the query's own is a candidate, a
 repeated row too; a null id is no query, and as a candidate it sorts last among ties; an empty table
 gives an empty result; extra columns are ignored.
 """
@@ -128,7 +128,8 @@ def top_k(df: DataFrame, is_query, k: int = 5, vec_col: str = "embedding", id_co
     ``is_query`` is a condition on ``vec_id``.
     """
     spark = df.sparkSession
-    scaled = F.transform(F.col(vec_col), lambda x: F.floor(F.least(F.greatest(x.cast("double") * SCALE, F.lit(-(2.0**31))), F.lit(2.0**31 - 1))).cast("int"))
+    fits = lambda v: F.when((v >= -(2.0**63)) & (v < 2.0**63), F.floor(v)).otherwise(F.raise_error(F.lit("a component is out of the range of 64 bits")).cast("long"))
+    scaled = F.transform(F.col(vec_col), lambda x: fits(x.cast("double") * SCALE))
     finite = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     usable = df.filter(F.col(vec_col).isNotNull() & (F.size(vec_col) > 0) & finite)
     rows = stage(row_ids(usable, F.col(id_col).cast("long").alias("vec_id"), scaled.alias("values"), F.size(vec_col).alias("dims")), "vectors")

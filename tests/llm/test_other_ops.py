@@ -45,6 +45,15 @@ def test_topk_prunes_exactly():
     assert huge[0][1].tolist() == [4 * (2**31 - 1) ** 2] * 2
 
 
+def test_topk_large_components(spark):
+    rows = [(50, [1.0, 0.0]), (51, [8.5e6, 0.0]), (52, [9e6, 1.0]), (53, [1e7, 0.0]), (54, [-1e7, 0.0]), (55, [-9e6, 0.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect()
+    assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"])] == [(i, int(65536 * x)) for i, x in ((53, 1e7), (52, 9e6), (51, 8.5e6), (55, -9e6), (54, -1e7))]
+    over = spark.createDataFrame([(50, [1e30])], "vec_id long, embedding array<float>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(over, F.col("vec_id") % 50 == 0).collect()
+
+
 def test_topk_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
