@@ -18,17 +18,22 @@ of one and the same shingle, be it one word repeated in different numbers. Bucke
 equal index entries are not expanded into all pairs: first each member is compared with its bucket's
 most central member, and components are formed from the verified links; then only members of
 different components in a bucket are compared. That keeps every link between components, so the components are exact.
-Entries of frequent tokens are salted, so that one bucket is dealt to many tasks.
+
+Candidates come from 64-bit shingle hashes under a key that is drawn for each join; candidate pairs
+are verified on the words themselves. A pair's texts are not joined into one row: a document that has
+many partners is sent once to each group of ``PARTNERS`` of them, and Arrow batches are bounded in
+bytes. Rows of classes, buckets and components that are large are dealt to ``SALTS`` tasks each.
 
 Defined cases: a null or empty text has no shingles and is linked with nothing; a text with fewer
 words than a shingle has its whole sequence as its one shingle; a null id takes part but is never a
 component's id while another id is there; repeated rows are linked with each other; an empty table
-gives an empty result; extra columns are ignored.
+gives an empty result; extra columns are ignored. Texts of any length are read whole.
 """
 
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +41,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import bound_batches, drop_staged, row_ids, stage
+from citeloom.llm.common import SALTS, bits_of, bound_batches, drop_staged, join_groups, row_ids, stage, with_bit
 from citeloom.llm.components import components
-from citeloom.llm.shingles import documents_of, mix
+from citeloom.llm.shingles import distinct, documents_of, exact_sets, mix
 
 WIDTH = 4
 #: Two documents link when PERCENT_OF * intersection >= PERCENT * union.
@@ -48,7 +53,8 @@ SKETCH_CHUNK = 1 << 12
 #: Bits of a document's bitmap, in 64-bit words.
 BITMAP_WORDS = 8
 NEED_BITS = 22
-SALTS = 32
+#: Partners that one copy of a document's text is compared with.
+PARTNERS = 1000
 
 
 def min_shared(n: int, percent: int) -> int:
@@ -75,27 +81,29 @@ def class_key(text: bytes, n: int, width: int) -> bytes:
     return hashlib.sha256(b" ".join(words[:width] if n == 1 else words)).digest()
 
 
-def _measure(width: int):
-    schema = pa.schema([("rid", pa.int64()), ("key", pa.binary()), ("n", pa.int32()), ("bits", pa.list_(pa.int64())), ("chunk", pa.int32()), ("counts", pa.binary())])
+def _measure(width: int, secret: bytes):
+    names = ["rid", "id", "key", "n", "bits", "chunk", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, np.int64)
+        sketch, id_type = np.zeros(1 << SKETCH_BITS, np.int64), pa.null()
         for batch in batches:
-            texts = batch.column(1)
+            texts, id_type = batch.column(2), batch.column(1).type
             sizes, bitmaps = [], []
-            for tokens in documents_of(texts, width):
+            for tokens in documents_of(texts, width, secret):
                 sizes.append(len(tokens))
                 bitmaps.append(bitmap(tokens))
                 np.add.at(sketch, (tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
             keys = [class_key(t.as_buffer().to_pybytes() if t.is_valid else b"", n, width) for t, n in zip(texts.cast(pa.binary()), sizes, strict=True)]
             none = pa.nulls(len(sizes))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.list_(pa.int64())), none.cast(pa.int32()), none.cast(pa.binary())], schema=schema)
+            columns = [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(bitmaps, pa.list_(pa.int64())), none.cast(pa.int32()), none.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
         parts = sketch.reshape(-1, SKETCH_CHUNK)
         full = np.flatnonzero(parts.any(axis=1))
         if len(full):
             none = pa.nulls(len(full))
             counts = [parts[i].tobytes() for i in full]
-            yield pa.RecordBatch.from_arrays([none.cast(pa.int64()), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), pa.array(full, pa.int32()), pa.array(counts, pa.binary())], schema=schema)
+            columns = [none.cast(pa.int64()), none.cast(id_type), none.cast(pa.binary()), none.cast(pa.int32()), none.cast(pa.list_(pa.int64())), pa.array(full, pa.int32()), pa.array(counts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
@@ -166,20 +174,20 @@ def prefix_entries(tokens: np.ndarray, levels: np.ndarray, frequent: int, percen
     return singles, np.concatenate(pairs) if pairs else none
 
 
-def _entries(levels, frequent: int, width: int, percent: int):
+def _entries(levels, frequent: int, width: int, percent: int, secret: bytes):
     schema = pa.schema([("sig", pa.int64()), ("rid", pa.int64()), ("room", pa.int32()), ("hot", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = levels.value
         for batch in batches:
             parts, held = [], 0
-            for rid, tokens in zip(batch.column(0).to_numpy(), documents_of(batch.column(1), width), strict=True):
+            for rid, tokens in zip(batch.column(0).to_numpy(), documents_of(batch.column(1), width, secret), strict=True):
                 singles, pairs = prefix_entries(tokens, cells, frequent, percent)
                 n = len(tokens)
                 if len(singles):
                     parts.append((singles.view(np.int64), np.full(len(singles), rid), np.arange(n, n - len(singles), -1, dtype=np.int32), np.zeros(len(singles), bool)))
                 if len(pairs):
-                    pairs = np.unique(pairs)
+                    pairs = distinct(pairs)
                     room = np.full(len(pairs), n - len(singles), np.int32)
                     parts.append((pairs.view(np.int64), np.full(len(pairs), rid), room, np.ones(len(pairs), bool)))
                 held += len(singles) + len(pairs)
@@ -196,18 +204,23 @@ def _entries(levels, frequent: int, width: int, percent: int):
 
 
 def _verify(width: int, percent: int):
+    """Rows (pivot, part, member, text) in order, a pivot's own text before those of its members, to links."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot_text = pa.array([""], pa.large_string())
         for batch in batches:
-            right = None
-            keep = []
-            b_ids = batch.column(1).to_pylist()
-            sets_a = documents_of(batch.column(2), width)
-            for i, a in enumerate(sets_a):
-                if right is None or b_ids[i] != b_ids[i - 1]:
-                    right = next(documents_of(batch.column(3).slice(i, 1), width))
-                shared = len(np.intersect1d(a, right, assume_unique=True))
-                keep.append(100 * shared >= percent * (len(a) + len(right) - shared))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            texts = pa.concat_arrays([pivot_text, batch.column(3).cast(pa.large_string())])
+            sets = exact_sets(texts, width)
+            at, keep = 0, []
+            for i, is_pivot in enumerate(batch.column(2).is_null().to_pylist(), 1):
+                if is_pivot:
+                    at = i
+                    keep.append(False)
+                else:
+                    shared = len(np.intersect1d(sets[at], sets[i], assume_unique=True))
+                    keep.append(100 * shared >= percent * (len(sets[at]) + len(sets[i]) - shared))
+            pivot_text = pa.concat_arrays([texts.slice(at, 1)])
+            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -215,17 +228,28 @@ def _verify(width: int, percent: int):
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of the staged pairs (a, b) whose texts are similar enough.
 
-    Texts that no pair needs are left out by a bitmap of fixed size over row numbers, which is
-    broadcast; what its false positives let through is dropped by the joins.
+    Of each pair the document with more partners is the pivot. Texts that no pair needs are left out
+    by a bitmap of fixed size over row numbers; what its false positives let through is dropped by
+    the joins. Joins that carry texts are sort-merge joins at every size.
     """
-    cell = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << NEED_BITS))
-    ids = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).select(cell("rid").alias("cell"))
-    bits = ids.groupBy((F.col("cell") / 64).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("cell") % 64).cast("int"))).alias("bits"))
-    marked = texts.withColumn("cell", cell("rid")).withColumn("word", (F.col("cell") / 64).cast("int"))
-    needed = marked.join(F.broadcast(bits), "word").filter(F.getbit("bits", (F.col("cell") % 64).cast("int")) == 1).select("rid", "text")
-    left = pairs.join(needed.select(F.col("rid").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(needed.select(F.col("rid").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_verify(width, percent), "a long, b long")
+    ends = pairs.select(F.col("a").alias("rid")).union(pairs.select("b"))
+    degrees = stage(ends.groupBy("rid").agg(F.count("*").alias("degree")), "degrees")
+    ranked = pairs
+    for x, other in (("a", "b"), ("b", "a")):
+        ranked = join_groups(ranked, degrees.select(F.col("rid").alias(x), F.col("degree").alias(f"degree_{x}")), [x], f"degree_{x}", other)
+    swap = (F.col("degree_a") > F.col("degree_b")) | ((F.col("degree_a") == F.col("degree_b")) & (F.col("a") > F.col("b")))
+    member, pivot = F.when(swap, F.col("b")).otherwise(F.col("a")), F.when(swap, F.col("a")).otherwise(F.col("b"))
+    part = F.pmod(F.xxhash64(member), F.ceil(F.greatest("degree_a", "degree_b") / PARTNERS)).cast("int")
+    dealt = stage(ranked.select(pivot.alias("pivot"), part.alias("part"), member.alias("member")), "dealt-pairs")
+    needed = with_bit(texts, bits_of(degrees, "rid", bits=NEED_BITS), "rid", bits=NEED_BITS, out="needed").filter("needed").select("rid", "text")
+    members = dealt.join(needed.withColumnRenamed("rid", "member").hint("merge"), "member")
+    pivots = dealt.select("pivot", "part").distinct().join(needed.withColumnRenamed("rid", "pivot").hint("merge"), "pivot")
+    columns = ["pivot", "part", "member", "text"]
+    rows = members.select(*columns).unionByName(pivots.withColumn("member", F.lit(None).cast("long")).select(*columns))
+    ordered = rows.repartition("pivot", "part").sortWithinPartitions("pivot", "part", F.col("member").asc_nulls_first())
+    links = stage(ordered.mapInArrow(_verify(width, percent), "a long, b long"), "links")
+    drop_staged(degrees, dealt)
+    return links
 
 
 # --- the join ------------------------------------------------------------------------------------
@@ -254,69 +278,79 @@ def _alike(percent: int) -> Column:
 
 
 def _members_and_labels(df: DataFrame, text_col: str, id_col: str, width: int, percent: int, carried: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Staged texts (with the carried columns) and ``rid``, ``id``, ``n``, ``class_id``, ``component``."""
+    """Staged texts (with the carried columns) and ``rid``, ``id``, ``n``, ``class_id``, ``root``, ``component``."""
     spark = df.sparkSession
     bound_batches(spark)
+    secret = secrets.token_bytes(16)
     row = F.struct(*[F.col(c) for c in carried]).alias("row") if carried else F.lit(None).cast("int").alias("row")
     texts = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"), row), "texts")
-    measured = stage(texts.select("rid", "text").mapInArrow(_measure(width), "rid long, key binary, n int, bits array<long>, chunk int, counts binary"), "measured")
+    kind = texts.schema["id"].dataType.simpleString()
+    measured = stage(texts.select("rid", "id", "text").mapInArrow(_measure(width, secret), f"rid long, id {kind}, key binary, n int, bits array<long>, chunk int, counts binary"), "measured")
     levels, frequent = token_levels(measured)
-    rows = measured.filter("chunk IS NULL").select("rid", "key", "n", "bits")
-    classes = rows.join(texts.select("rid", "id"), "rid")
-    least = classes.filter("n > 0").groupBy("key").agg(F.min("rid").alias("rep"), F.min("id").alias("class_id"))
-    members = stage(
-        classes.filter("n > 0").join(least, "key").select("rid", "id", "n", "rep", "class_id")
-        .unionByName(classes.filter("n = 0").select("rid", "id", "n", F.col("rid").alias("rep"), F.col("id").alias("class_id"))),
-        "members",
-    )
-    rep_of = members.select("rid", "rep", "n")
+
+    # Classes: documents with words by their key, those without each by itself.
+    rows = measured.filter("chunk IS NULL")
+    whole = stage(rows.filter("n > 0").groupBy("key").agg(F.count("*").alias("size"), F.min("rid").alias("rep"), F.min("id").alias("class_id")), "classes")
+    found = join_groups(rows.filter("n > 0").select("key", "rid", "id", "n"), whole, ["key"], "size", "rid").select("rid", "id", "n", "rep", "class_id", "size")
+    alone = rows.filter("n = 0").select("rid", "id", "n", F.col("rid").alias("rep"), F.col("id").alias("class_id"), F.lit(1).cast("long").alias("size"))
+    members = stage(found.unionByName(alone), "members")
+    drop_staged(whole)
 
     shared = spark.sparkContext.broadcast(levels)
-    entries = texts.select("rid", "text").mapInArrow(_entries(shared, frequent, width, percent), "sig long, rid long, room int, hot boolean")
+    entries = texts.select("rid", "text").mapInArrow(_entries(shared, frequent, width, percent, secret), "sig long, rid long, room int, hot boolean")
     # Entries that nobody else has are dropped within their salted part of the bucket.
     salted = entries.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("rid"), F.lit(SALTS))).otherwise(F.lit(0)))
     full = salted.withColumn("size", F.count("*").over(Window.partitionBy("sig", "salt")))
     shared_entries = full.filter("hot OR size > 1").select("sig", "rid", "room")
-    buckets = stage(shared_entries.join(rep_of, "rid").select("sig", F.col("rep").alias("id"), "n", "room").distinct(), "buckets")
+    buckets = stage(shared_entries.join(members.select("rid", "rep", "n"), "rid").select("sig", F.col("rep").alias("id"), "n", "room").distinct(), "buckets")
 
     # First each member against the most central member of each of its buckets: the one that shares
     # most entries with others, which is the original of a group of near copies.
-    sizes = buckets.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1")
-    scores = buckets.join(sizes, "sig").groupBy("id").agg(F.sum("size").alias("score"))
-    scored = stage(buckets.join(scores, "id").select("sig", "id", "n", "room", "score"), "scored")
-    pivots = scored.groupBy("sig").agg(F.max(F.struct("score", "id", "n", "room")).alias("p"))
-    starred = scored.join(pivots, "sig").select(*_side("a"), F.col("p.id").alias("b"), F.col("p.n").alias("n_b"), F.col("p.room").alias("room_b"))
-    pairs = stage(starred.filter("a != b").filter(_can_link(percent)).select("a", "b").distinct(), "star-pairs")
-    links = stage(verified(pairs, texts, width, percent), "star-links")
+    sizes = stage(buckets.groupBy("sig").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    sized = stage(join_groups(buckets, sizes, ["sig"], "size", "id"), "sized")
+    scores = sized.groupBy("id").agg(F.sum("size").alias("score"))
+    scored = stage(sized.join(scores, "id").select("sig", "id", "n", "room", "score"), "scored")
+    drop_staged(buckets, sizes, sized)
+    pivots = stage(scored.groupBy("sig").agg(F.max(F.struct("score", "id", "n", "room")).alias("p"), F.count("*").alias("size")), "pivots")
+    starred = join_groups(scored, pivots, ["sig"], "size", "id").select(*_side("a"), F.col("p.id").alias("b"), F.col("p.n").alias("n_b"), F.col("p.room").alias("room_b"))
+    pairs = stage(starred.filter("a != b").filter(_can_link(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "star-pairs")
+    links = verified(pairs, texts, width, percent)
+    drop_staged(pivots, pairs)
     found = components(links)
 
     # Then members of different components that share an entry.
     roots = found.select(F.col("node").alias("id"), "root")
-    placed = scored.join(roots, "id", "left").select("sig", "id", "n", "room", F.coalesce("root", "id").alias("root"))
+    placed = stage(scored.join(roots, "id", "left").select("sig", "id", "n", "room", F.coalesce("root", "id").alias("root")), "placed")
+    drop_staged(scored)
     counted = placed.groupBy("sig", "root").agg(F.count("*").alias("c"))
-    mixed = counted.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots")).filter("roots > 1")
-    in_mixed = placed.join(mixed.select("sig", F.col("most.root").alias("major")), "sig")
-    in_mixed = stage(in_mixed.join(rows.select(F.col("rid").alias("id"), "bits"), "id"), "mixed")
-    minor = in_mixed.filter("root != major").select("sig", *_side("a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
+    mixed = stage(counted.groupBy("sig").agg(F.max(F.struct("c", "root")).alias("most"), F.count("*").alias("roots"), F.sum("c").alias("size")).filter("roots > 1").select("sig", "size", F.col("most.root").alias("major")), "mixed")
+    in_mixed = join_groups(placed, mixed, ["sig"], "size", "id")
+    in_mixed = stage(in_mixed.join(rows.select(F.col("rid").alias("id"), "bits"), "id"), "in-mixed")
+    drop_staged(placed, mixed)
+    minor = in_mixed.filter("root != major").select("sig", "size", *_side("a"), F.col("root").alias("root_a"), F.col("bits").alias("bits_a"))
     other = in_mixed.select("sig", *_side("b"), F.col("root").alias("root_b"), F.col("bits").alias("bits_b"), "major")
-    cross = minor.join(other, "sig").filter("root_a != root_b AND (root_b = major OR root_a < root_b)").filter(_can_link(percent) & _alike(percent))
-    distinct = cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = stage(verified(stage(distinct, "cross-pairs"), texts, width, percent), "cross-links")
+    cross = join_groups(other, minor, ["sig"], "size", "b").filter("root_a != root_b AND (root_b = major OR root_a < root_b)").filter(_can_link(percent) & _alike(percent))
+    pairs = stage(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "cross-pairs")
+    drop_staged(in_mixed, measured)
+    more = verified(pairs, texts, width, percent)
     joined = components(links.unionByName(more)) if not more.isEmpty() else found
+    drop_staged(pairs, links, more)
 
-    ids = members.filter("rid = rep").select("rep", "class_id").join(joined, F.col("rep") == F.col("node"))
-    smallest = ids.groupBy("root").agg(F.min("class_id").alias("component"))
-    labels = ids.select("rep", "root").join(smallest, "root").select("rep", "root", "component")
-    out = members.join(labels, "rep", "left")
-    for done in (buckets, scored, in_mixed):
-        drop_staged(done)
-    return texts, out
+    # Labels of the classes, then of their members.
+    reps = stage(members.filter("rid = rep").select("rep", "class_id", "size").join(joined, F.col("rep") == F.col("node"), "left").select("rep", "class_id", "size", "root"), "reps")
+    smallest = stage(reps.filter("root IS NOT NULL").groupBy("root").agg(F.min("class_id").alias("component"), F.count("*").alias("classes")), "smallest")
+    linked = join_groups(reps.filter("root IS NOT NULL"), smallest, ["root"], "classes", "rep").select("rep", "size", "root", "component")
+    single = reps.filter("root IS NULL").select("rep", "size", "root", F.col("class_id").alias("component"))
+    labels = stage(linked.unionByName(single), "labels")
+    drop_staged(reps, smallest, joined)
+    return texts, join_groups(members.drop("size"), labels, ["rep"], "size", "rid")
 
 
 def similar_components(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id`` (the smallest id reachable by links)."""
-    _, out = _members_and_labels(df, text_col, id_col, width, percent, [])
-    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.coalesce("component", "class_id").alias("component_id"))
+    texts, out = _members_and_labels(df, text_col, id_col, width, percent, [])
+    drop_staged(texts)
+    return out.select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def one_of_each(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -330,5 +364,5 @@ def one_of_each(df: DataFrame, text_col: str = "text", id_col: str = "doc_id", w
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
     first = out.filter("root IS NOT NULL OR n > 0").groupBy(F.coalesce("root", "rep").alias("c")).agg(F.min(place).alias("first")).select("first.rid")
     stay = stage(first.unionByName(out.filter("root IS NULL AND n = 0").select("rid")), "stay")
-    kept = texts.join(stay, "rid", "left_semi")
+    kept = texts.join(stay.hint("merge"), "rid", "left_semi")  # alike at every size: whole rows, shuffled once
     return kept.select(*[F.col("id").alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns])

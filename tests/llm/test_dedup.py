@@ -2,11 +2,14 @@ import itertools
 import random
 import re
 
+import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from citeloom.llm import exact_dedup, ngram_join
+from citeloom.llm import exact_dedup, ngram_join, shingles
 from citeloom.llm.components import components
+from citeloom.llm.queries import OP5_SQL, OP10_SQL
 from tests.llm.helpers import DOCS, docs, sha, words
 
 ODD = ["", None, " ", "  ", "\t\n", "a  b", "a\tb", "a b ", "x" * 10_000, "x" * 10_001, "é ü" * 3000, "é ü" * 3000]
@@ -129,3 +132,70 @@ def test_one_word_repeated(spark, width, percent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == want
     kept = ngram_join.one_of_each(df, width=width, percent=percent)
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in want})
+
+
+def thue_morse(k):
+    a, b = "a", "b"
+    for _ in range(k):
+        a, b = a + b, b + a
+    return a, b
+
+
+def in_duckdb(sql, df):
+    con = duckdb.connect()
+    con.register("documents", pa.Table.from_pylist([r.asDict() for r in df.collect()], pa.schema([("doc_id", pa.int64()), ("text", pa.string())])))
+    got = con.execute(sql)
+    names = [c[0] for c in got.description]
+    return names, sorted(got.fetchall(), key=str)
+
+
+HARD = [
+    "two words", "Two  words", "a a a a", "a a a a a", "a a a a a a a", "", None, "w " * 130_000, "w " * 2000 + "v", " ".join(f"t{i}" for i in range(40_000)), " ".join(f"t{i}" for i in range(2, 40_000)),
+    *(f"x y z {w}" for w in thue_morse(10)), *(f"x y z {w}" for w in thue_morse(5)), "p q r s t u v w", "s t u v p q r s",
+]
+
+
+def test_near_hard_texts(spark):
+    """Two words alone, sets of one shingle, words made to share polynomial hashes, and texts beyond 256 KB."""
+    assert max(len(t or "") for t in HARD) > 256 << 10
+    got = ngram_join.similar_components(docs(spark, HARD))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_near(HARD, 4, 85)
+    alone = [i for i in range(11, 15)]
+    assert {r.doc_id: r.component_id for r in got.collect() if r.doc_id in alone} == {i: i for i in alone}
+    for t in ("two words", "a b c"):  # no other text in the batch
+        assert ngram_join.similar_components(docs(spark, [t])).collect()[0].n_shingles == 1
+
+
+def test_near_sql(spark):
+    df = docs(spark, [t for t in HARD if len(t or "") < 5000] + near_texts(6))
+    names, want = in_duckdb(OP5_SQL, df.select("doc_id", "text"))
+    assert sorted(map(tuple, ngram_join.similar_components(df).select(*names).collect()), key=str) == want
+
+
+def test_exact_sets():
+    rng = random.Random(9)
+    for vocabulary in (2, 50, 100_000):  # shingle numbers within 63 bits, and beyond
+        texts = [" ".join(f"W{rng.randrange(vocabulary)}" for _ in range(rng.randint(0, 60 if vocabulary < 99 else 9000))) for _ in range(30)]
+        for width in (1, 4, 5):
+            sets = shingles.exact_sets(pa.array([*texts, None]), width)
+            named = [{tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (t.lower().split() for t in texts)]
+            for i, j in itertools.combinations(range(30), 2):
+                assert len(set(sets[i].tolist()) & set(sets[j].tolist())) == len(named[i] & named[j])
+            assert [len(s) for s in sets] == [len(s) or int(bool(t)) for s, t in zip(named, texts, strict=True)] + [0]
+
+
+def test_exact_sql(spark):
+    df = docs(spark, [t for t in ODD if t is not None] + ["a\u00a0b", "a b"])
+    names, want = in_duckdb(OP10_SQL, df.select("doc_id", "text"))
+    assert sorted(map(tuple, exact_dedup.exact_dedup(df).select(*names).collect()), key=str) == want
+
+
+def test_heavy_groups(spark, monkeypatch):
+    """Groups dealt to several tasks give the same rows."""
+    from citeloom.llm import common
+
+    monkeypatch.setattr(common, "HEAVY_ROWS", 2)
+    monkeypatch.setattr(ngram_join, "PARTNERS", 2)
+    texts = near_texts(5)
+    got = ngram_join.similar_components(docs(spark, texts))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_near(texts, 4, 85)
