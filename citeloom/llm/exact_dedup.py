@@ -8,6 +8,7 @@ distinct values, never for bare hash values.
 
 Blocks are sorted in the order of (64-bit hash, text). Only hash and count travel after the
 distinct blocks are known; the few blocks whose hashes collide are told apart by their text order.
+Rows of a large group of equal texts are dealt to many tasks when they meet their group.
 
 Defined cases: a null text is the empty text; white space runs count as one space (no trimming, so
 " " and "" differ); a null id sorts after all ids; of repeated rows (same id and text) one row is
@@ -21,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import drop_staged, row_ids, stage
+from citeloom.llm.common import drop_paths, drop_staged, join_groups, recorded, row_ids, stage
 
 BLOCK_CHARS = 4096
 
@@ -56,20 +57,11 @@ def _collision_ranks(texts: DataFrame, block_chars: int, hash_of: Callable[[Colu
     return stage(distinct.join(shared, "h", "left_semi").withColumn("sub", F.row_number().over(order)), "subranks")
 
 
-def exact_dedup(
-    df: DataFrame,
-    text_col: str = "text",
-    id_col: str = "doc_id",
-    block_chars: int = BLOCK_CHARS,
-    hash_of: Callable[[Column], Column] = F.xxhash64,
-) -> DataFrame:
-    """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
-
-    ``keep_id`` is the id of the row that stays for the row's text: the smallest one.
-    """
-    texts = df.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("t"))
+def _members(numbered: DataFrame, block_chars: int, hash_of: Callable[[Column], Column]) -> DataFrame:
+    """Staged rows ``rid``, ``id``, ``sha`` and the identity (``level``, ``name``) from rows (rid, id, text)."""
+    texts = numbered.select("rid", "id", normalised(F.col("text")).alias("t"))
     hashes = F.transform(blocks_of(F.col("t"), block_chars), lambda b: hash_of(b))
-    docs = stage(row_ids(texts, F.col("id"), F.sha2("t", 256).alias("sha"), hashes.alias("hs")), "signatures")
+    docs = stage(texts.select("rid", "id", F.sha2("t", 256).alias("sha"), hashes.alias("hs")), "signatures")
 
     subranks = _collision_ranks(texts, block_chars, hash_of)
     symbols = docs.select("rid", F.size("hs").alias("len"), F.posexplode("hs").alias("pos", "h"))
@@ -77,7 +69,7 @@ def exact_dedup(
         symbols = symbols.withColumn("sub", F.lit(0))
     else:
         # The text of a colliding block is needed once more, together with its row and place.
-        again = stage(row_ids(texts, F.col("id"), F.col("t"), hashes.alias("hs")), "texts")
+        again = stage(texts.select("rid", "id", "t", hashes.alias("hs")), "texts")
         docs = again.select("rid", "id", F.sha2("t", 256).alias("sha"), "hs")
         placed = again.select("rid", F.size("hs").alias("len"), F.posexplode(blocks_of(F.col("t"), block_chars)).alias("pos", "block"))
         placed = placed.withColumn("h", hash_of(F.col("block")))
@@ -102,11 +94,32 @@ def exact_dedup(
     identity = finished[0]
     for part in finished[1:]:
         identity = identity.unionByName(part)
-    members = docs.select("rid", "id", "sha").join(identity, "rid")
+    return stage(docs.select("rid", "id", "sha").join(identity, "rid"), "members")
+
+
+def _grouped(numbered: DataFrame, block_chars: int = BLOCK_CHARS, hash_of: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """The members with ``first`` (the row that stays) and ``group_size``."""
+    with recorded() as paths:
+        members = _members(numbered, block_chars, hash_of)
+    drop_paths(members.sparkSession, paths[:-1])
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")).alias("first")
-    groups = members.groupBy("level", "name").agg(first, F.count("*").alias("group_size"))
-    joined = members.join(groups, ["level", "name"])
-    return joined.select(
+    groups = stage(members.groupBy("level", "name").agg(first, F.count("*").alias("group_size")), "groups")
+    return join_groups(members, groups, ["level", "name"], "group_size", "rid")
+
+
+def exact_dedup(
+    df: DataFrame,
+    text_col: str = "text",
+    id_col: str = "doc_id",
+    block_chars: int = BLOCK_CHARS,
+    hash_of: Callable[[Column], Column] = F.xxhash64,
+) -> DataFrame:
+    """One row per input row: id, ``keep_id``, ``group_size``, ``kept``, ``text_sha256``.
+
+    ``keep_id`` is the id of the row that stays for the row's text: the smallest one.
+    """
+    numbered = row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return _grouped(numbered, block_chars, hash_of).select(
         F.col("id").alias(id_col),
         F.col("first.id").alias("keep_id"),
         "group_size",
@@ -117,19 +130,9 @@ def exact_dedup(
 
 def kept_rows(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``df`` that exact deduplication keeps, with all their columns."""
-    kept = stage(exact_dedup(df, text_col, id_col).filter("kept").select(F.col(id_col).alias("keep_doc"), F.col("text_sha256").alias("keep_sha")), "kept")
-    keyed = df.withColumn("own_sha__", F.sha2(normalised(F.col(text_col)), 256))
-    same = F.col(id_col).eqNullSafe(F.col("keep_doc")) & (F.col("own_sha__") == F.col("keep_sha"))
-    return one_of_repeats(keyed.join(kept, same, "left_semi"), df.columns, id_col, "own_sha__")
-
-
-def one_of_repeats(df: DataFrame, columns: list[str], id_col: str, sha_col: str) -> DataFrame:
-    """One row for each (id, text) that occurs more than once; all other rows unchanged."""
-    repeated = stage(df.groupBy(id_col, sha_col).count().filter("count > 1").select(F.col(id_col).alias("rep_id"), F.col(sha_col).alias("rep_sha")), "repeats")
-    if repeated.isEmpty():
-        drop_staged(repeated)
-        return df.select(*columns)
-    same = F.col(id_col).eqNullSafe(F.col("rep_id")) & (F.col(sha_col) == F.col("rep_sha"))
-    once = df.join(repeated, same, "left_anti").select(*columns)
-    row = F.min(F.struct(*[F.col(c) for c in columns])).alias("row")
-    return once.unionByName(df.join(repeated, same, "left_semi").groupBy(id_col, sha_col).agg(row).select("row.*"))
+    rest = [c for c in df.columns if c not in (text_col, id_col)]
+    row = F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row") if rest else F.lit(None).cast("int").alias("row")
+    rows = stage(row_ids(df, F.col(id_col).alias("id"), F.col(text_col).alias("text"), row), "rows")
+    stay = stage(_grouped(rows.select("rid", "id", "text")).filter(F.col("rid") == F.col("first.rid")).select("rid"), "kept")
+    kept = rows.join(stay.hint("merge"), "rid", "left_semi")  # alike at every size: whole rows, shuffled once
+    return kept.select(*[F.col("id").alias(c) if c == id_col else F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in df.columns])

@@ -7,12 +7,13 @@ by virtual finish time and taken until the total budget is used up, so every sou
 proportion to its target.
 
 Running totals never bring a source, or the whole mix, into one task: rows are dealt to ranges of
-the order, the ranges' totals are added up, and each range counts on from its offset.
+the order, the ranges' totals are added up, and each range counts on from its offset. Nor do all
+sources meet in one task: they may be as many as hosts.
 
 Defined cases: a null text has size 0 and nothing of it is taken; a null source is a source of its
 own, last in order; sources without words get target 0; repeated rows and null ids queue like other
 rows (equal rows in either order, with the same result); an empty table gives an empty result; extra
-columns are ignored.
+columns are ignored. Texts of any length are counted whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ WEIGHTS = (1, 2, 3)
 PASSES = 3
 QUANTUM = 128
 #: Rows of one range of an order.
-RANGE_ROWS = 50_000
+RANGE_ROWS = 10_000
 
 
 def with_running_total(df: DataFrame, group: str, key: Column, order: list[str], amount: str, total: str, counts: DataFrame) -> DataFrame:
@@ -44,27 +45,49 @@ def with_running_total(df: DataFrame, group: str, key: Column, order: list[str],
     return joined.withColumn(total, F.col("offset") + F.coalesce(F.sum(amount).over(inside), F.lit(0))).drop("offset", "range")
 
 
+def ranked_sources(sizes: DataFrame) -> DataFrame:
+    """Staged rows ``source``, ``source_size``, ``docs``, ``rank`` (from 1, by code point, null last).
+
+    Sources may be as many as hosts: they are range-sorted, and each partition counts on from the
+    number of sources before it.
+    """
+    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    order = F.col("source").asc_nulls_last()
+    placed = stage(sources.repartitionByRange(order).sortWithinPartitions(order).withColumn("place", F.monotonically_increasing_id()), "sources")
+    part = F.shiftright("place", 33)
+    parts = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))  # a row for each partition
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    ranked = placed.join(F.broadcast(offsets), part == F.col("part"))
+    rank = F.col("offset") + F.col("place") - F.shiftleft(part, 33) + 1
+    out = stage(ranked.select("source", "source_size", "docs", rank.alias("rank")), "ranked")
+    drop_staged(placed)
+    return out
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, passes: int = PASSES) -> DataFrame:
     """``source``, ``rank``, ``source_size``, ``docs`` and ``target``: one row for each source.
 
     The budget is the sum of all sizes, shared by weight. A source is capped at ``passes`` times its
-    size; what it can't take is shared among the others by weight. With sources sorted by cap over
-    weight, the capped ones come first: those whose cap is at most their share of what is left.
+    size; what it can't take is shared among the others by weight. The level (words for a unit of
+    weight) rises as capped sources leave their share; each round is one aggregate, and the rounds
+    end when no further source is capped.
     """
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())  # a row for each source, not for each document
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1)
-    ranked = sources.withColumn("rank", F.row_number().over(by_name)).withColumn("weight", weight).withColumn("cap", passes * F.col("source_size"))
-    fill = Window.orderBy((F.col("cap") / F.col("weight")), "rank")
-    ahead = fill.rowsBetween(Window.unboundedPreceding, -1)
-    rest = Window.orderBy((F.col("cap") / F.col("weight")), "rank").rowsBetween(0, Window.unboundedFollowing)
-    level = (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(ahead), F.lit(0))) / F.sum("weight").over(rest)
-    leveled = ranked.withColumn("level", level).withColumn("capped", F.col("cap") <= F.col("level") * F.col("weight"))
-    # The level of the first source that isn't capped holds for all after it.
-    final = F.min(F.when(~F.col("capped"), F.struct((F.col("cap") / F.col("weight")).alias("at"), "rank", "level"))).over(Window.partitionBy())
-    done = leveled.withColumn("final", final["level"])
-    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("final") * F.col("weight"))
-    return done.select("source", "rank", "source_size", "docs", target.alias("target"))
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
+    ranked = ranked_sources(sizes).withColumn("weight", weight).withColumn("cap", passes * F.col("source_size"))
+    level, capped = 0.0, -1
+    while True:
+        full = F.col("cap") <= F.lit(level) * F.col("weight") if capped >= 0 else F.lit(False)
+        r = ranked.agg(
+            F.sum("source_size").alias("budget"), F.count(F.when(full, 1)).alias("capped"),
+            F.sum(F.when(full, F.col("cap"))).alias("given"), F.sum(F.when(~full, F.col("weight"))).alias("weight"),
+        ).first()
+        if r["capped"] == capped or not r["weight"]:
+            break
+        capped, level = r["capped"], ((r["budget"] or 0) - (r["given"] or 0)) / r["weight"]
+    share = F.lit(level) * F.col("weight")
+    target = F.when(F.col("cap") <= share, F.col("cap").cast("double")).otherwise(share)
+    return ranked.select("source", "rank", "source_size", "docs", target.alias("target"))
 
 
 def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", quantum: int = QUANTUM, passes: int = PASSES, weights: tuple[int, ...] = WEIGHTS, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -108,8 +131,8 @@ def mix_rows(df: DataFrame, text_col: str = "text", source_col: str = "source",
     out = rows.drop("row").join(about, F.col("source").eqNullSafe(F.col("s__"))).join(took, "rid", "left")
     out = stage(out.select("rid", "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), "taken")
     drop_staged(packets)
-    # Carried columns are stored once, and join the result where it is read.
-    return out.join(rows.select("rid", "row"), "rid") if carry else out
+    # Carried columns are stored once, and join the result where it is read; alike at every size.
+    return out.hint("merge").join(rows.select("rid", "row"), "rid") if carry else out
 
 
 def mix_sources(df: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
