@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -58,6 +59,33 @@ def test_secrets_entropy(spark):
     assert spans == {0: "entropy_text:4:44", 1: "entropy_hex:0:32", 2: "", 3: "", 4: ""}
 
 
+def test_secrets_long(spark):
+    """Ten thousand matches, a candidate of 100 KB and one long run of a class: whole, and in seconds."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    long = "".join(rng.choices(letters, k=100_000))
+    texts = ["token=abcdef1 " * 10_000, f"x {long} y", "ab1" * 30_000, " ".join("".join(rng.choices(letters[:36], k=30)) + "7" for _ in range(2000)) + " secret=abcdefg", "token=" + "9" * 50_000]
+    begun = time.monotonic()
+    rows = {r.doc_id: r for r in secret_scan.digests(secret_scan.scan_secrets(docs(spark, texts))).collect()}
+    assert time.monotonic() - begun < 90
+    for i, t in enumerate(texts):
+        assert [rows[i].n_assign, rows[i].n_access, rows[i].n_hex, rows[i].base_sha256] == brute_spans(t)[0]
+    assert rows[0].n_assign == 10_000 and "entropy_text:2:100002" in rows[1].spans
+
+
+def test_secrets_allow_list(spark):
+    """Paths are suppressed as a whole only, so random strings with separators stay; other classes have kinds of their own."""
+    rng = random.Random(13)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    random_ones = ["".join(rng.choices(letters, k=k)) for k in (40, 88, 400) for _ in range(60)]
+    fixed = ["com/services/T0pSecretKey/aB3dE5gH7jK9mN1pQ3sT", "k3v9x2m7q1z8w4y6t5r0p3n2b7", "K3V9X2M7Q1Z8W4Y6T5R0P3N2B7", "path/to/Some/Long/File0/name/Here/there"]
+    spans = {r.doc_id: r.spans for r in secret_scan.digests(secret_scan.scan_secrets(docs(spark, random_ones + fixed))).collect()}
+    has_all = [re.search("[0-9]", t) and re.search("[a-z]", t) and re.search("[A-Z]", t) for t in random_ones]
+    assert sum(spans[i] == "" for i, x in enumerate(has_all) if x) <= 4
+    n = len(random_ones)
+    assert [spans[n + i].split(":")[0] for i in range(4)] == ["entropy_text", "entropy_lower", "entropy_upper", ""]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], DOCS)
     assert secret_scan.digests(secret_scan.scan_secrets(none)).count() == 0
