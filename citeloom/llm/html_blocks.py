@@ -11,7 +11,8 @@ executors get its weights.
 
 Defined cases: null or empty html gives the empty text; pages without tags are one block; comments,
 scripts, styles and the head are no blocks; unclosed and stray tags are tolerated; white space inside
-a block becomes one space; ``<br>`` is white space; repeated rows and null ids are worked like other
+a block becomes one space; ``<br>`` is white space; very long or hostile pages are read whole, in time
+in proportion to their length and memory in proportion to their blocks; repeated rows and null ids are worked like other
 rows; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -22,6 +23,7 @@ import random
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -37,23 +39,101 @@ WORD_SCALE = 0.3
 HIDDEN = 16
 TRAIN_PAGES, ROUNDS, SEED = 1600, 14, 7
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""", re.S)
+_OPENS = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag, up to the first ">" outside quotes.
+_REST = re.compile(r"""((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _ATTRIBUTE = re.compile(r"""(?:^|[\s/])(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img input br".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Elements that a head may hold; any other ends it.
+_IN_HEAD = frozenset("head title meta link base style script noscript template html".split())
 _RAW = ("script", "style", "noscript", "template", "iframe", "svg")
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
 _ITEMS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 
 
-def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
+class Path(NamedTuple):
+    """Tag path of a block: hashed words as bits, their number, and the innermost two."""
+
+    bits: int = 0
+    length: int = 0
+    last: tuple[str, ...] = ()
+
+    def inside(self, words: tuple[str, ...]) -> Path:
+        bits = self.bits
+        for w in words:
+            bits |= 1 << zlib.crc32(w.encode()) % PATH_SIZE
+        return Path(bits, self.length + len(words), (self.last + words)[-2:])
+
+
+class _Open:
+    """The open elements; every step costs the same, however deep they are nested."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, Path]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def last(self, name: str) -> int:
+        places = self.places.get(name)
+        return places[-1] if places else -1
+
+    @property
+    def path(self) -> Path:
+        return self.stack[-1][1] if self.stack else Path()
+
+    def push(self, name: str, words: tuple[str, ...]) -> None:
+        path = self.path if name in _INLINE else self.path.inside(("<" + name, *words))
+        self.places.setdefault(name, []).append(len(self.stack))
+        self.stack.append((name, path))
+
+    def pop(self, name: str, within: tuple[str, ...] = ()) -> None:
+        """Close the innermost element of a name and all inside it, unless a limiting element is between."""
+        at = self.last(name)
+        if at >= 0 and all(self.last(w) < at for w in within):
+            while len(self.stack) > at:
+                self.places[self.stack.pop()[0]].pop()
+
+
+def _tags(page: str) -> Iterator[tuple[str, str, str, int, int]]:
+    """(text before, name or "", attributes, start, end) of each tag, comment or declaration, read once
+    from left to right; the generator is sent the place to go on from.
+
+    A tag ends at the first ">" outside quotes, or, where a quote is left open, at the first one.
+    Without a further ">" the rest is text, up to an unclosed comment.
+    """
+    at = text = 0
+    while True:
+        at = page.find("<", at)
+        close = page.find(">", at) if at >= 0 else -1
+        if close < 0:
+            end = page.find("<!--", max(at, 0)) if at >= 0 else -1
+            yield page[text : end if end >= 0 else len(page)], "", "", len(page), len(page)
+            return
+        if page.startswith("<!--", at):
+            end = page.find("-->", at + 4)
+            name, rest, end = "", "", end + 3 if end >= 0 else len(page)
+        elif page[at + 1 : at + 2] in ("!", "?"):
+            name, rest, end = "", "", close + 1
+        else:
+            found = _OPENS.match(page, at)
+            if found is None:
+                at += 1
+                continue
+            name = found.group(1) + found.group(2).lower()
+            whole = _REST.match(page, found.end())
+            rest, end = (whole.group(1), whole.end()) if whole else (page[found.end() : close], close + 1)
+        on = yield page[text:at], name, rest, at, end
+        at = text = on if on is not None else end
+
+
+def leaf_blocks(page: str) -> list[tuple[Path, str, float]]:
     """(tag path, text, share of its characters inside links) of each block with text, in page order."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    blocks: list[tuple[tuple[str, ...], str, float]] = []
+    opened = _Open()
+    blocks: list[tuple[Path, str, float]] = []
     parts: list[str] = []
-    path: tuple[str, ...] = ()
-    linked = links = 0
+    path = Path()
+    linked = 0
 
     def flush() -> None:
         nonlocal parts, linked
@@ -64,36 +144,31 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
 
     def add(raw: str) -> None:
         nonlocal linked
-        if raw and not any(name in ("head", "title") for name, _ in stack):
+        if raw and opened.last("head") < 0 and opened.last("title") < 0:
             parts.append(html.unescape(raw))
-            if links:
+            if opened.last("a") >= 0:
                 linked += len(parts[-1])
 
-    def pop(name: str, within: tuple[str, ...] = ()) -> None:
-        nonlocal links
-        for at in range(len(stack) - 1, -1, -1):
-            if stack[at][0] == name:
-                links -= sum(n == "a" for n, _ in stack[at:])
-                del stack[at:]
-                return
-            if stack[at][0] in within:
-                return
-
-    at = 0
-    while at < len(page):
-        found = _TAG.search(page, at)
-        if not found:
-            add(page[at:])
+    tags, on = _tags(page), None
+    while True:
+        try:
+            before, name, rest, _, end = tags.send(on)
+        except StopIteration:
             break
-        add(page[at : found.start()])
-        at = found.end()
-        name = (found.group(2) or "").lower()
+        on = None
+        add(before)
         if not name:
             continue
-        closing = bool(found.group(1))
+        closing, name = name[0] == "/", name.lstrip("/")
+        if not closing and opened.last("head") >= 0 and name not in _IN_HEAD:
+            opened.pop("title")
+            opened.pop("head")
         if not closing and name in _RAW:
-            end = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            if not (name == "svg" and rest.rstrip().endswith("/")):
+                # A raw element ends with its own closing tag; without one, with the page.
+                final = re.compile(f"</{name}", re.I).search(page, end)
+                close = page.find(">", final.end()) if final else -1
+                on = close + 1 if close >= 0 else len(page)
             continue
         if name == "br":
             add(" ")
@@ -102,20 +177,17 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if block:
             flush()
         if closing:
-            pop(name)
+            opened.pop(name)
         else:
-            if name in _CLOSES_P and name != "p" or name == "p":
-                pop("p", ("td", "th", "li", "button", "body"))
+            if name in _CLOSES_P:
+                opened.pop("p", ("td", "th", "li", "button", "body"))
             if name in _ITEMS:
-                pop(name, _ITEMS[name])
-            if name == "body":
-                pop("head")
+                opened.pop(name, _ITEMS[name])
             if name not in _VOID:
-                attributes = _ATTRIBUTE.findall(found.group(3))
-                stack.append((name, tuple(dict.fromkeys(w for a in attributes for w in _NAME.findall(a.lower())))))
-                links += name == "a"
+                attributes = _ATTRIBUTE.findall(rest)
+                opened.push(name, tuple(dict.fromkeys(w for a in attributes for w in _NAME.findall(a.lower()))))
         if block:
-            path = tuple(w for n, words in stack if n not in _INLINE for w in ("<" + n, *words))
+            path = opened.path
     flush()
     return blocks
 
@@ -123,17 +195,15 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
 # --- features ------------------------------------------------------------------------------------
 
 
-def path_vector(path: tuple[str, ...]) -> np.ndarray:
-    out = np.zeros(PATH_SIZE, np.float32)
-    for word in path:
-        out[zlib.crc32(word.encode()) % PATH_SIZE] = 1
-    if path:  # the innermost names once more, apart from those around them
-        for word in path[-2:]:
-            out[zlib.crc32(b"last " + word.encode()) % PATH_SIZE] += 0.5
+def path_vector(path: Path) -> np.ndarray:
+    bits = np.frombuffer(path.bits.to_bytes(PATH_SIZE // 8, "little"), np.uint8)
+    out = np.unpackbits(bits, bitorder="little").astype(np.float32)
+    for word in path.last:  # the innermost names once more, apart from those around them
+        out[zlib.crc32(b"last " + word.encode()) % PATH_SIZE] += 0.5
     return out
 
 
-def features(pages: list[list[tuple[tuple[str, ...], str, float]]]) -> np.ndarray:
+def features(pages: list[list[tuple[Path, str, float]]]) -> np.ndarray:
     """One row for each block of all pages."""
     blocks = [b for p in pages for b in p]
     paths = {path: None for path, _, _ in blocks}
@@ -154,7 +224,7 @@ def features(pages: list[list[tuple[tuple[str, ...], str, float]]]) -> np.ndarra
     sizes = np.array([len(t) for _, t, _ in blocks])
     rows = [
         np.log1p(counts) / 5, np.array([x for _, _, x in blocks]), np.minimum(1, 5 * marks / np.maximum(1, sizes)), place, 1 - place,
-        np.minimum(1, np.array([len(p) for p, _, _ in blocks]) / 10), (counts < 6).astype(float), (counts > 20).astype(float),
+        np.minimum(1, np.array([p.length for p, _, _ in blocks]) / 10), (counts < 6).astype(float), (counts > 20).astype(float),
     ]
     out[:, PATH_SIZE + WORD_SIZE :] = np.stack(rows, 1)
     return out
@@ -230,7 +300,7 @@ class Labeller:
             g[f"x{d}"], g[f"h{d}"], g[f"c{d}"] = x.reshape(-1, x.shape[2]).T @ flat, gh, flat.sum(0)
         return g, loss
 
-    def predict(self, pages: list[list[tuple[tuple[str, ...], str, float]]], group: int = 128) -> list[np.ndarray]:
+    def predict(self, pages: list[list[tuple[Path, str, float]]], group: int = 128) -> list[np.ndarray]:
         """Scores of every page's blocks; pages of like length are worked together."""
         out: list[np.ndarray] = [np.zeros(0, np.float32)] * len(pages)
         order = sorted((i for i, p in enumerate(pages) if p), key=lambda i: len(pages[i]))
@@ -325,6 +395,8 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[str]]]:
 
     def attribute(names: str) -> str:
         chosen = [rng.choice(names.split())] if names else []
+        if chosen and rng.random() < 0.15:
+            chosen[0] = rng.choice(("left", "right", "top", "main", "site", "my")) + chosen[0]
         if rng.random() < 0.3:
             chosen.append("".join(rng.choices(_SYLLABLES[:20], k=2)))
         if not chosen or rng.random() < 0.1:
@@ -384,6 +456,24 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[str]]]:
             return "<table>" + "".join(f"<tr><td>{mark}{words(1, 4)}</td><td>{mark}{words(1, 4)}</td></tr>" for _ in range(rng.randint(1, 3))) + "</table>"
         return f"<figure><figcaption>{mark}{words(3, 15)}</figcaption></figure>"
 
+    def cell(kind: str) -> str:
+        """A part as a cell of a table that lays out the page."""
+        said = _PARTS[kind][2]
+        texts = [rng.choice(said.split(";") if ";" in said else said.split()) if rng.random() < 0.5 else words(1, 4) for _ in range(rng.randint(1, 7))]
+        joined = rng.choice((" ", " | ", "<br>", "</p><p>")).join(f'<a href="/{i}">{t}</a>' if kind in ("menu", "side") or rng.random() < 0.3 else t for i, t in enumerate(texts))
+        return f"<td{attribute(_PARTS[kind][1])}>{joined}</td>"
+
+    def table_page(inner: str) -> str:
+        """A page laid out by a table, with the main text in one cell."""
+        names = rng.choice(_BODY)[1]
+        cells = [cell(k) for k in ("menu", "side", "ad") if rng.random() < 0.5]
+        ahead = cells[: rng.randint(0, len(cells))]
+        row = "".join(ahead) + f"<td{attribute(names) if names else ''}>{inner}</td>" + "".join(cells[len(ahead) :])
+        head = f"<tr>{cell(rng.choice(('header', 'menu')))}</tr>" if rng.random() < 0.5 else ""
+        foot = f"<tr>{cell('footer')}</tr>" if rng.random() < 0.4 else part("footer") if rng.random() < 0.7 else f"<p{attribute(_PARTS['footer'][1])}>Copyright {words(1, 8)}</p>"
+        outside = foot if foot.startswith("<tr>") else ""
+        return f"<table>{head}<tr>{row}</tr>{outside}</table>" + ("" if outside else foot)
+
     def page() -> str:
         tag, names = rng.choice(_BODY)
         own = f' class="{names}"' if names else ""
@@ -391,6 +481,8 @@ def training_pages(count: int, seed: int) -> list[tuple[str, list[str]]]:
         for kind in ("ad", "side", "notice", "menu", "form"):
             if rng.random() < 0.12:
                 inner.insert(rng.randint(0, len(inner)), part(kind))
+        if rng.random() < 0.12:
+            return f"<html><head><title>x</title></head><body>{table_page(''.join(inner))}</body></html>"
         text = f"<{tag}{own}>{''.join(inner)}</{tag}>"
         before = [part(k) for k in ("header", "menu", "notice", "ad", "side") if rng.random() < (0.75 if k == "menu" else 0.4)]
         after = [part(k) for k in ("side", "comments", "ad", "form", "notice", "menu", "footer") if rng.random() < (0.8 if k == "footer" else 0.35)]

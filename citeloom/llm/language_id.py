@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import bound_batches, drop_staged, stage
@@ -38,6 +38,8 @@ MIN_COUNT = 4
 SHARE = 0.5
 SLOT_BITS = 20
 HASHES = 2
+#: Most languages that a filter is built for; a mask holds 64, so there are as many masks as needed.
+MAX_LANGUAGES = 512
 UNDETERMINED = "und"
 
 _IS_LETTER = np.zeros(0x110000, bool)
@@ -49,13 +51,11 @@ def _tables() -> None:
     """Letters and lower case of all code points, from the Unicode data of Python."""
     global _TABLES_READY
     if not _TABLES_READY:
-        for c in range(0x30000):
-            ch = chr(c)
-            if ch.isalpha():
-                _IS_LETTER[c] = True
-                low = ch.lower()
-                if len(low) == 1:
-                    _LOWERED[c] = ord(low)
+        _IS_LETTER[:] = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
+        for c in np.flatnonzero(_IS_LETTER).tolist():
+            low = chr(c).lower()
+            if len(low) == 1:
+                _LOWERED[c] = ord(low)
         _TABLES_READY = True
 
 
@@ -115,26 +115,34 @@ class Model:
     """Languages, their bit-sliced Bloom filter and each language's false-positive rate."""
 
     def __init__(self, languages: list[str], slots: np.ndarray, default: int):
-        self.languages, self.slots, self.default = languages, slots, default
-        bits = np.arange(len(languages), dtype=np.uint64)
+        """``slots``: one array of masks for every 64 languages."""
+        self.languages, self.slots, self.default = languages, np.atleast_2d(slots), default
         # The chance that an n-gram foreign to a language hits all its slots.
-        self.false_rate = np.array([((slots >> b & np.uint64(1)) != 0).mean() ** HASHES for b in bits])
+        self.false_rate = np.array([((self.slots[b // 64] >> np.uint64(b % 64) & np.uint64(1)) != 0).mean() ** HASHES for b in range(len(languages))])
 
-    def masks(self, grams: np.ndarray) -> np.ndarray:
-        found = self.slots[_slot(grams, 0)]
+    def masks(self, grams: np.ndarray, plane: int = 0) -> np.ndarray:
+        found = self.slots[plane][_slot(grams, 0)]
         for k in range(1, HASHES):
-            found = found & self.slots[_slot(grams, k)]
+            found = found & self.slots[plane][_slot(grams, k)]
         return found
 
+    def hits(self, grams: np.ndarray) -> np.ndarray:
+        """For each language the number of n-grams whose mask has its bit."""
+        out: list[int] = []
+        for plane in range(len(self.slots)):
+            masks = self.masks(grams, plane)
+            masks, times = np.unique(masks, return_counts=True) if len(masks) > 64 else (masks, np.ones(len(masks), np.int64))
+            here = min(64, len(self.languages) - 64 * plane)
+            out += [times[(masks >> np.uint64(b) & np.uint64(1)) != 0].sum() for b in range(here)]
+        return np.array(out)
+
     def predict(self, grams: np.ndarray, has_letter: bool) -> tuple[str, float, float]:
         """(language, its share of the corrected hits, its corrected hits for each n-gram)."""
         if not has_letter or not self.languages:
             return UNDETERMINED, 0.0, 0.0
         if not len(grams):
             return self.languages[self.default], 0.0, 0.0
-        masks = self.masks(grams)
-        masks, times = np.unique(masks, return_counts=True) if len(masks) > 64 else (masks, np.ones(len(masks), np.int64))
-        hits = np.array([times[(masks >> np.uint64(b) & np.uint64(1)) != 0].sum() for b in range(len(self.languages))])
+        hits = self.hits(grams)
         real = np.maximum(0.0, (hits - len(grams) * self.false_rate) / (1 - self.false_rate))
         if not real.any():
             return self.languages[self.default], 0.0, 0.0
@@ -150,10 +158,10 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     """Fit the filter on a bounded sample of labelled rows; ids only choose the sample."""
     bound_batches(rows.sparkSession)
     labelled = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    docs = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").limit(65).collect()}
+    docs = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy("lang").limit(MAX_LANGUAGES + 1).collect()}
     languages = sorted(docs)
-    if len(languages) > 64:
-        raise ValueError("a mask holds 64 languages at most")
+    if len(languages) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not languages:
         return Model([], np.zeros(1 << SLOT_BITS, np.uint64), 0)
     # Hashes are uniform, so a bound on them holds about as many documents as are wanted.
@@ -167,13 +175,12 @@ def train(rows: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     share = kept.join(F.broadcast(total), "lang").withColumn("share", F.col("n") / F.col("all"))  # one row a language: 64 at most
     whole = share.groupBy("gram").agg(F.sum("share").alias("whole"))
     clear = stage(share.join(whole, "gram").filter(F.col("share") >= SHARE * F.col("whole")).select("lang", "gram", "n"), "grams")
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
-    for i in range(len(languages)):
-        best = clear.filter(F.col("lang") == i).orderBy(F.col("n").desc(), "gram").limit(GRAMS_KEPT).select("gram")
-        grams = best.toPandas()["gram"].to_numpy(np.int64).view(np.uint64)
+    slots = np.zeros((-(-len(languages) // 64), 1 << SLOT_BITS), np.uint64)
+    first = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
+    best = clear.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= GRAMS_KEPT).select("lang", "gram")
+    for lang, grams in best.toPandas().groupby("lang")["gram"]:  # GRAMS_KEPT a language at most
         for k in range(HASHES):
-            at = _slot(grams, k)
-            slots[at] |= np.uint64(1) << np.uint64(i)
+            slots[lang // 64, _slot(grams.to_numpy(np.int64).view(np.uint64), k)] |= np.uint64(1) << np.uint64(lang % 64)
     drop_staged(clear)
     return Model(languages, slots, max(range(len(languages)), key=lambda i: (docs[languages[i]], -i)))
 

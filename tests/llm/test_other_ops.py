@@ -1,11 +1,15 @@
 import math
 import random
+import re
+import time
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from citeloom.llm import chat_format, html_blocks, mixing, topk
+from citeloom.llm.queries import OP2_SQL, OP9_SQL, op2_exact_topk, op9_chat_format
 from tests.llm.helpers import DOCS, docs, sha, words
 
 
@@ -150,6 +154,31 @@ def test_chat_round_trip(spark):
         assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == (len(turns), sha("".join(f"{a}\n{b}\n" for a, b in turns)), len(learned), sha(learned))
 
 
+def test_chat_sql(spark, tmp_path):
+    """The SQL says the same over backslashes, newlines and control strings in roles and texts."""
+    rng = random.Random(14)
+    parts = ["\\", "<|", "im_end", "|>", "\n", "n", "é", "x", "\\n"]
+    said = lambda: "".join(rng.choices(parts, k=rng.randint(0, 8)))
+    rows = [(c, t, said() if rng.random() < 0.3 else "assistant", said()) for c in range(60) for t in range(rng.randint(1, 5))]
+    spark.createDataFrame([*rows, (99, 0, None, None)], TURNS).write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/conversations.parquet/*.parquet'")
+    want = con.execute(OP9_SQL)
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, op9_chat_format(spark, str(tmp_path)).select(*names).collect())) == sorted(want.fetchall())
+
+
+def test_topk_sql(spark, tmp_path):
+    rng = random.Random(15)
+    rows = [(i, [rng.uniform(-1, 1) * (1e6 if i % 7 == 0 else 1) for _ in range(8)]) for i in range(160)] + [(150, None), (200, [None] * 8), (250, [float("nan")] * 8)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = con.execute(OP2_SQL)
+    names = [c[0] for c in want.description]
+    assert sorted(map(tuple, op2_exact_topk(spark, str(tmp_path)).select(*names).collect())) == sorted(want.fetchall())
+
+
 def test_chat_events(spark):
     events = [
         (1, 0, 1, "message", "user", "hi"), (1, 1, 2, "message", "assistant", ""), (1, 1, 3, "delta", "", "ab"), (1, 1, 4, "delta", None, "cd"), (1, 1, 5, "regenerate", "", ""), (1, 1, 6, "delta", "", "new"),
@@ -187,10 +216,55 @@ def test_html_held_out_accuracy(net):
 
 def test_html_blocks():
     page = "<head><title>T</title><style>p{}</style></head><body><nav><ul><li><a href=x>Home</a><li>B</ul></nav><!-- <p>no</p> --><script>var t='</p>';</script><article><h1>A &amp;\n B</h1><p><b>one<br>two<p>th<i>re</i>e &quot;x&copy</article><p title='a>b'>q"
-    blocks = [(p[-1], t) for p, t, _ in html_blocks.leaf_blocks(page)]
+    blocks = [(p.last[-1], t) for p, t, _ in html_blocks.leaf_blocks(page)]
     assert blocks == [("<li", "Home"), ("<li", "B"), ("<h1", "A & B"), ("<p", "one two"), ("<p", 'three "x©'), ("<p", "q")]
     assert html_blocks.leaf_blocks("") == [] and html_blocks.leaf_blocks("plain  text")[0][1] == "plain text"
-    assert html_blocks.leaf_blocks("a < b <p") == [((), "a < b <p", 0.0)] and html_blocks.leaf_blocks("<script>x") == []
+    assert html_blocks.leaf_blocks("a < b <p") == [(html_blocks.Path(), "a < b <p", 0.0)] and html_blocks.leaf_blocks("<script>x") == []
+
+
+def test_html_hostile_pages():
+    """Unclosed tags, quotes and raw elements, and deep nesting, in time in proportion to the length."""
+    begun = time.monotonic()
+    n = 100_000
+    assert html_blocks.leaf_blocks("<a " * n) == [(html_blocks.Path(), ("<a " * n).strip(), 0.0)]
+    deep = html_blocks.leaf_blocks("<div class='c'>x" * n)
+    assert len(deep) == n and deep[-1][0].length == 2 * n
+    assert len(html_blocks.leaf_blocks("<p>x<td>" + "<div>y" * n)) == n + 1
+    assert html_blocks.leaf_blocks("<script>" + "</script " * n) == []
+    for part in ("<b \"", "<!", "<b '>", "</p", "<p>&amp", "<!-- ", "<svg/>"):
+        html_blocks.leaf_blocks(part * n)
+    html_blocks.leaf_blocks("<b " * n + "\" >")
+    assert time.monotonic() - begun < 60
+
+
+def test_html_optional_tags():
+    said = lambda page: [t for _, t, _ in html_blocks.leaf_blocks(page)]
+    assert said("<head><title>t</title><meta a=b><article><p>x</article>") == ["x"]
+    assert said("<svg viewBox='0'/><p>x</p><svg><text>no</text></svg><p>y") == ["x", "y"]
+    assert said('<p title="a>b">x<p data-x=\'>\'>y') == ["x", "y"]
+
+
+# Pages written by hand, unlike the generated ones, with their main texts.
+HAND_MADE = [
+    ("<html><body><table><tr><td class=leftnav><a href=/>Start</a> <a href=/n>News</a></td><td class=content><h2>The mill at the river</h2><p>It was built long ago, and it still turns when the water is high enough in spring.</p><p>Nobody lives there now.</p></td></tr></table><p class=footer>Copyright 2001 by the village</p></body></html>",
+     "The mill at the river\n\nIt was built long ago, and it still turns when the water is high enough in spring.\n\nNobody lives there now."),
+    ("<body><header><h1 class=site>Garden paper</h1><nav><a href=1>Home</a><a href=2>Shop</a></nav></header><main><article class='post entry'><h1>Pruning apple trees</h1><p>Cut in late winter, before the buds swell, and leave the strong branches alone.</p><ul><li>Use a clean saw.</li><li>Cut above a bud.</li></ul></article><section class=comments><h3>2 comments</h3><p>Thank you, this helped me a lot last year.</p></section></main><footer><a href=i>Imprint</a></footer></body>",
+     "Pruning apple trees\n\nCut in late winter, before the buds swell, and leave the strong branches alone.\n\nUse a clean saw.\n\nCut above a bud."),
+]
+
+
+def test_html_hand_made(net):
+    for page, want in HAND_MADE:
+        assert html_blocks.main_texts([page], net) == [want]
+
+
+def test_html_articles(spark, net):
+    """The main text of every page of the small tables is that of its one article element, read plainly."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()]
+    articles = [re.findall(r"<article.*?</article>", p, re.S) for p in pages]
+    pairs = [(p, "\n\n".join(t for _, t, _ in html_blocks.leaf_blocks(a[0]))) for p, a in zip(pages, articles, strict=True) if len(a) == 1]
+    assert len(pairs) > len(pages) / 2
+    assert html_blocks.main_texts([p for p, _ in pairs], net) == [t for _, t in pairs]
 
 
 def test_html_gradients():
