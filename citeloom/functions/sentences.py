@@ -5,6 +5,7 @@ Every test looks at the text around one position only, so all positions can be t
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import pandas as pd
@@ -16,37 +17,26 @@ ABBREVIATIONS = frozenset(
     "al et Dr Prof Mr Mrs Ms Jr Sr St ibid viz ca approx resp Fig Figs Eq Eqs Sec Secs Ref Refs Tab App Vol No Nos pp Chap Dept Univ Prop Thm Lem Cor Def Ex Inc Ltd Corp Co ed eds trans rev pt".split()
 )
 # Fixed value: two or more short words with dots, as in "i.e." or "Ph.D.".
-_DOTTED = re.compile(r"(?:[A-Za-z]{1,4}\.){2,}$")
+_DOTTED = re.compile(r"(?:[A-Za-z]{1,4}\.){2,}\Z")
 _MARKS = re.compile(r"[.!?()]")
 #: How far back an open parenthesis counts.
 REACH = 200
 
 
-def _word_before(text: str, at: int) -> str:
-    start = at
-    while start > 0 and text[start - 1].isalpha():
-        start -= 1
-    return text[start:at]
+#: A version number before a dot, as in "v1.2".
+_VERSION = re.compile(r"[vV][\d.]*\d\Z")
 
 
 def dot_is_inner(text: str, at: int) -> bool:
-    """Whether the dot at a position can't end a sentence: abbreviations, numbers, names, initials."""
-    left, right = text[at - 1 : at], text[at + 1 : at + 2]
-    if right in ("/", ".") and right or left.isalnum() and right.isalnum():
-        return True
-    word = _word_before(text, at)
-    if word in ABBREVIATIONS:
-        return True
+    """Whether the dot at a position can't end a sentence: within a number, a name or an address,
+    after an abbreviation, or after an initial."""
+    left, right = text[max(0, at - 1) : at], text[at + 1 : at + 2]
+    word = "".join(itertools.takewhile(str.isalpha, reversed(text[max(0, at - REACH) : at])))[::-1]
     dotted = _DOTTED.search(text[max(0, at - 15) : at + 1]) is not None
-    if dotted and right.isalpha():
-        return True
-    if left.isdigit():
-        number = at
-        while number > 0 and (text[number - 1].isdigit() or text[number - 1] == "."):
-            number -= 1
-        if text[number - 1 : number] in ("v", "V") and number > 0:
-            return True
-    return len(word) == 1 and word.isupper() and not dotted
+    within = right in ("/", ".") if right else False
+    within = within or left.isalnum() and right.isalnum() or dotted and right.isalpha()
+    short = word in ABBREVIATIONS or len(word) == 1 and word.isupper() and not dotted
+    return within or short or _VERSION.search(text[max(0, at - REACH) : at]) is not None
 
 
 def split_sentences(text: str | None) -> list[str]:
