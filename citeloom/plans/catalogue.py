@@ -1,7 +1,9 @@
 """Registered queries over the driver's tables, with the same statements in SQL.
 
 The tables stand in for the citation corpus: orders are papers (venue: priority, year: order date),
-line items are edges (order to part number), the first sixty characters of documents are titles.
+line items are edges (order to part number). Whole texts of documents are titles, ids and
+duplicates; where titles are compared word by word, whole texts of benchmark items are the papers,
+and changed forms of them the references.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from citeloom.functions import citations, paths, text
-from citeloom.functions.sentences import sentences
+from citeloom.functions.sentences import ABBREVIATIONS, sentences
 from citeloom.operators import contexts, corpus, extract, graph, labels, prompts, resolve
 from citeloom.schema import CALENDAR, STOP_WORDS
 from citeloom.streaming import incremental
@@ -46,13 +48,25 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = (F.lit(2000) + F.pmod("doc_id", F.lit(20))).cast("int")
-    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("paper_id"), F.substring("text", 1, 60).alias("title"), F.col("source").alias("venue"), year.alias("year"))
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("paper_id"), F.col("text").alias("title"), F.col("source").alias("venue"), year.alias("year"))
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as papers."""
+    year = (F.lit(2000) + F.pmod("item_id", F.lit(20))).cast("int")
+    return _table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("pos"), F.col("item_id").cast("string").alias("paper_id"), F.col("text").alias("title"), F.concat(F.lit("src"), (F.col("item_id") % 5).cast("string")).alias("venue"), year.alias("year"))
+
+
+#: What is done to an item's title for its references, in Spark's SQL and DuckDB's alike.
+_FORMS = ("title || '!'", "title || ' zzzq'", "reverse(title)")
 
 
 def refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Titles of conversations' turns and of documents stand for references."""
-    docs = titles(spark, sf_dir)
-    return docs.select(F.col("pos").alias("ref_id"), F.concat(F.substring("title", 1, 50), F.lit("!")).alias("title"), F.when(F.pmod("pos", F.lit(3)) == 0, F.lit(None)).otherwise(F.col("year")).cast("int").alias("year"))
+    """Three references to each item: its title with a mark, with a word more, and backwards."""
+    year = F.when(F.pmod("pos", F.lit(3)) == 0, F.lit(None)).otherwise(F.col("year")).cast("int")
+    forms = F.array(*[F.struct(F.lit(k).alias("form"), F.expr(said).alias("title")) for k, said in enumerate(_FORMS)])
+    made = items(spark, sf_dir).select("pos", year.alias("year"), F.inline(forms))
+    return made.select((3 * F.col("pos") + F.col("form")).alias("ref_id"), "title", "year")
 
 
 _PAPERS = "SELECT o_orderkey AS paper_id, o_orderpriority AS venue, year(o_orderdate)::INTEGER AS year FROM orders"
@@ -67,8 +81,9 @@ train AS (SELECT * FROM reduced WHERE year BETWEEN 1995 AND 1999),
 eval AS (SELECT * FROM reduced WHERE year = 2000 AND venue IN ('1-URGENT', '2-HIGH'))
 """
 _NORM = r"trim(regexp_replace(regexp_replace(lower(coalesce({0}, '')), '[^\p{{L}}\p{{N}}_\s]', '', 'g'), '\s+', ' ', 'g'))"
-_TITLES = "SELECT doc_id AS pos, doc_id::VARCHAR AS paper_id, substr(text, 1, 60) AS title, source AS venue, (2000 + doc_id % 20)::INTEGER AS year FROM documents"
-_REFS = f"SELECT pos AS ref_id, substr(title, 1, 50) || '!' AS title, CASE WHEN pos % 3 <> 0 THEN year END AS year FROM ({_TITLES})"
+_TITLES = "SELECT doc_id AS pos, doc_id::VARCHAR AS paper_id, text AS title, source AS venue, (2000 + doc_id % 20)::INTEGER AS year FROM documents"
+_ITEMS = "SELECT item_id AS pos, item_id::VARCHAR AS paper_id, text AS title, 'src' || (item_id % 5) AS venue, (2000 + item_id % 20)::INTEGER AS year FROM benchmark"
+_REFS = " UNION ALL ".join(f"SELECT 3 * pos + {k} AS ref_id, pos AS item, {k} AS form, {said} AS title, CASE WHEN pos % 3 <> 0 THEN year END AS year FROM ({_ITEMS})" for k, said in enumerate(_FORMS))
 
 
 # --- graph and splits ----------------------------------------------------------------------------
@@ -204,7 +219,7 @@ _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
 @_query(f"""
-WITH t AS (SELECT pos, year AS paper_year, {_NORM.format('title')} AS norm FROM ({_TITLES})),
+WITH t AS (SELECT pos, year AS paper_year, {_NORM.format('title')} AS norm FROM ({_ITEMS})),
 r AS (SELECT ref_id, year AS ref_year, {_NORM.format('title')} AS norm FROM ({_REFS})),
 tw AS (SELECT DISTINCT pos, paper_year, w FROM (SELECT pos, paper_year, unnest(string_split(norm, ' ')) AS w FROM t) WHERE w NOT IN ('', {_STOP})),
 rw AS (SELECT DISTINCT ref_id, ref_year, w FROM (SELECT ref_id, ref_year, unnest(string_split(norm, ' ')) AS w FROM r) WHERE w NOT IN ('', {_STOP})),
@@ -212,38 +227,45 @@ c AS (SELECT ref_id, pos, count(*) AS overlap FROM rw JOIN tw ON rw.w = tw.w AND
 k AS (SELECT *, row_number() OVER (PARTITION BY ref_id ORDER BY overlap DESC, pos)::INTEGER AS rank FROM c)
 SELECT ref_id, pos, overlap, rank FROM k WHERE rank <= 25""")
 def q_fuzzy_candidates_top25(spark, sf_dir):
-    return resolve.candidates(refs(spark, sf_dir), titles(spark, sf_dir)).select("ref_id", "pos", "overlap", "rank")
+    return resolve.candidates(refs(spark, sf_dir), items(spark, sf_dir)).select("ref_id", "pos", "overlap", "rank")
+
+
+# A title's own item is the only similar one, so scores have a closed form: 100 for an equal title; with
+# a word of four letters more the ratio of the common part, or the weighted 95 of an equal set of words.
+_FUZZY = f"""
+WITH t AS (SELECT *, {_NORM.format('title')} AS norm FROM ({_ITEMS})),
+r AS (SELECT *, {_NORM.format('title')} AS norm FROM ({_REFS})),
+e AS (SELECT r.ref_id, arg_min(t.paper_id, t.pos) AS paper_id, arg_min(t.title, t.pos) AS title, arg_min(t.venue, t.pos) AS venue FROM r JOIN t ON t.norm = r.norm GROUP BY r.ref_id),
+f AS (SELECT r.ref_id, min(t.pos) AS pos, CASE r.form WHEN 0 THEN 100.0::DOUBLE ELSE greatest(95.0::DOUBLE, 200.0::DOUBLE * any_value(length(t.norm)) / any_value(2 * length(t.norm) + 5)) END AS score
+    FROM r JOIN t ON r.norm = t.norm || CASE r.form WHEN 0 THEN '' ELSE ' zzzq' END AND (r.year IS NULL OR abs(t.year - r.year) <= 1) WHERE r.form < 2 GROUP BY r.ref_id, r.form),
+m AS (SELECT r.ref_id, r.title, r.year, CASE WHEN e.ref_id IS NOT NULL THEN 'exact' WHEN f.ref_id IS NOT NULL THEN 'fuzzy' ELSE 'no_match' END AS match_type,
+    coalesce(e.paper_id, t.paper_id, '') AS matched_paper_id, coalesce(e.title, t.title, '') AS matched_title, coalesce(e.venue, t.venue, '') AS matched_venue
+    FROM r LEFT JOIN e ON e.ref_id = r.ref_id LEFT JOIN f ON f.ref_id = r.ref_id LEFT JOIN t ON t.pos = f.pos)
+"""
 
 
-@_query(None)
+@_query(_FUZZY + "SELECT ref_id, pos, score FROM f")
 def q_fuzzy_best(spark, sf_dir):
-    return resolve.fuzzy_matches(refs(spark, sf_dir), titles(spark, sf_dir))
+    return resolve.fuzzy_matches(refs(spark, sf_dir), items(spark, sf_dir))
+
 
+_SHORT_LIST = ("src0", "src1", "src2")
 
-@_query(None)
+
+@_query(_FUZZY + "SELECT *, match_type <> 'no_match' AS in_dataset, lower(matched_venue) IN ('src0', 'src1', 'src2') AS in_conference_list FROM m")
 def q_resolve(spark, sf_dir):
-    return resolve.with_flags(resolve.resolve(refs(spark, sf_dir), titles(spark, sf_dir)))
+    return resolve.with_flags(resolve.resolve(refs(spark, sf_dir), items(spark, sf_dir)), _SHORT_LIST)
 
 
-@_query(f"""
-WITH m AS (SELECT CASE WHEN d.norm IS NULL THEN 'no_match' ELSE 'exact' END AS match_type
-    FROM (SELECT {_NORM.format("title || CASE WHEN ref_id % 2 = 0 THEN '' ELSE ' zzzq' END")} AS norm FROM (SELECT pos AS ref_id, title FROM ({_TITLES}))) r LEFT JOIN ({_DICT}) d ON d.norm = r.norm)
-SELECT coalesce(match_type, 'total') AS match_type, count(*) AS n FROM m GROUP BY ROLLUP (match_type)""")
+@_query(_FUZZY + "SELECT coalesce(match_type, 'total') AS match_type, count(*) AS n FROM m GROUP BY ROLLUP (match_type)")
 def q_match_stats(spark, sf_dir):
-    every = titles(spark, sf_dir)
-    asked = every.select(F.col("pos").alias("ref_id"), F.concat("title", F.when(F.col("pos") % 2 == 0, F.lit("")).otherwise(F.lit(" zzzq"))).alias("title"))
-    kind = F.when(F.col("matched_paper_id").isNull(), "no_match").otherwise("exact")
-    return resolve.match_stats(resolve.exact_matches(asked, every).select(kind.alias("match_type")))
+    return resolve.match_stats(resolve.resolve(refs(spark, sf_dir), items(spark, sf_dir)))
 
 
-@_query(f"""
-SELECT r.ref_id, d.norm IS NOT NULL AS in_dataset, coalesce(lower(d.venue) IN ('src0', 'src1', 'src2'), false) AS in_conference_list
-FROM (SELECT ref_id, {_NORM.format('title')} AS norm FROM ({_REFS})) r LEFT JOIN ({_DICT}) d ON d.norm = r.norm""")
+@_query(_FUZZY + "SELECT ref_id, match_type <> 'no_match' AS in_dataset, lower(matched_venue) IN ('src0', 'src1', 'src2') AS in_conference_list FROM m")
 def q_flags(spark, sf_dir):
-    found = resolve.exact_matches(refs(spark, sf_dir), titles(spark, sf_dir))
-    kind = F.when(F.col("matched_paper_id").isNull(), "no_match").otherwise("exact")
-    typed = found.select("ref_id", kind.alias("match_type"), F.coalesce("venue", F.lit("")).alias("matched_venue"))
-    return resolve.with_flags(typed, ("src0", "src1", "src2")).select("ref_id", "in_dataset", "in_conference_list")
+    found = resolve.resolve(refs(spark, sf_dir), items(spark, sf_dir))
+    return resolve.with_flags(found, _SHORT_LIST).select("ref_id", "in_dataset", "in_conference_list")
 
 
 # --- labels --------------------------------------------------------------------------------------
@@ -409,8 +431,30 @@ def q_event_counts(spark, sf_dir):
 # --- parsers -------------------------------------------------------------------------------------
 
 
-@_query(None)
+_ABBREVIATIONS = ", ".join(f"'{w}'" for w in sorted(ABBREVIATIONS))
+
+
+@_query(rf"""
+WITH x AS (SELECT doc_id, text, regexp_extract_all(text, '(?s)[^.!?]*[.!?]') AS parts FROM documents WHERE text IS NOT NULL),
+nr AS (SELECT doc_id, text, unnest(parts) AS part, unnest(range(len(parts))) AS nr FROM x),
+m AS (SELECT doc_id, text, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY nr)::BIGINT AS place FROM nr),
+c AS (
+    SELECT *, substr(text, place, 1) AS mark, substr(text, greatest(1, place - 200), place - greatest(1, place - 200)) AS ahead, substr(text, place + 1, 1) AS behind,
+        regexp_extract(substr(text, place + 1, 9), '(?s)^\s*(.)', 1) AS nxt FROM m),
+d AS (
+    SELECT *, regexp_extract(ahead, '\p{{L}}*$') AS word, regexp_matches(right(ahead, 15) || '.', '(?:[A-Za-z]{{1,4}}\.){{2,}}$') AS dotted FROM c),
+e AS (
+    SELECT doc_id, text, place FROM d
+    WHERE NOT regexp_matches(ahead, '\([^()]{{0,198}}$') AND (nxt = '' OR regexp_matches(nxt, '\p{{Lu}}') OR nxt IN ('(', '"', '''', '['))
+        AND NOT (mark = '.' AND (behind IN ('/', '.') OR regexp_matches(right(ahead, 1) || behind, '^[\p{{L}}\p{{N}}]{{2}}$') OR dotted AND regexp_matches(behind, '\p{{L}}')
+            OR word IN ({_ABBREVIATIONS}) OR regexp_matches(word, '^\p{{Lu}}$') AND NOT dotted OR regexp_matches(ahead, '[vV][\d.]*\d$')))
+    UNION ALL SELECT doc_id, text, length(text) + 1 FROM x),
+s AS (
+    SELECT doc_id, place, regexp_replace(substr(text, prior + 1, place - prior), '^\s+|\s+$', '', 'g') AS sentence
+    FROM (SELECT *, coalesce(lag(place) OVER (PARTITION BY doc_id ORDER BY place), 0) AS prior FROM e))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1)::INTEGER AS sentence_pos, sentence FROM s WHERE sentence <> ''""")
 def q_sentences(spark, sf_dir):
+    """The SQL takes parentheses as not nested, which holds for the documents."""
     docs = _table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.posexplode(sentences("text")).alias("sentence_pos", "sentence"))
 
@@ -432,40 +476,94 @@ def q_style_vote(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir, source: str, document: str):
-    docs = _table(spark, sf_dir, "orders").filter("o_orderkey % 10 < 3").select("o_orderkey", F.expr(document).alias("content"))
+    docs = _table(spark, sf_dir, "orders").select("o_orderkey", F.expr(document).alias("content"))
     rows = extract.references_of(extract.extract_contexts(docs, source), ["o_orderkey"])
     return rows.select("o_orderkey", "target", "source_id", "title", F.col("year").cast("long").alias("year"), F.inline("contexts")).select("o_orderkey", "target", "source_id", "title", "year", "section", "context")
 
 
-_TEI = """concat('<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><head n="1">Intro</head><p>First of ', o_orderkey, '. We use <ref type="bibr" target="#b1">[1]</ref> here</p><formula>x = ', o_orderkey,
-'</formula><p>and go on. Last one.</p></div></body><back><div><listBibl><biblStruct xml:id="b0"><analytic><title>No year here</title></analytic></biblStruct><biblStruct xml:id="b1"><analytic><title type="main">Paper ', o_orderkey,
-'</title></analytic><monogr><imprint><date when="2004-05"/></imprint></monogr></biblStruct></listBibl></div></back></text></TEI>')"""
+def _case(shapes, said, spark_sql: bool = False) -> str:
+    """A CASE over the shapes, of which an order's number chooses one; "~" stands for the number."""
 
+    def text(x) -> str:
+        x = str(x).replace("'", "''")
+        return "'" + (x.replace("\\", "\\\\").replace("''", "\\'") if spark_sql else x).replace("\n", "\\n" if spark_sql else "' || chr(10) || '") + "'"
 
-@_query("""
-SELECT o_orderkey, 'b0' AS target, 'b1' AS source_id, 'Paper ' || o_orderkey AS title, 2004::BIGINT AS year, '1 Intro' AS section,
-    'First of ' || o_orderkey || '. We use (citation #b1) here x = ' || o_orderkey || ' and go on. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+    cases = " ".join(f"WHEN {k} THEN replace({text(said(x))}, '~', o_orderkey::VARCHAR)" for k, x in enumerate(shapes))
+    return f"CASE o_orderkey % {len(shapes)} {cases} END".replace("o_orderkey::VARCHAR", "CAST(o_orderkey AS STRING)" if spark_sql else "o_orderkey::VARCHAR")
+
+
+def _expected(shapes, target: str, source_id, context, year: str = "{0}") -> str:
+    return f"""SELECT o_orderkey, '{target}' AS target, {_case(shapes, source_id)} AS source_id, {_case(shapes, lambda x: x[-2])} AS title,
+        {year.format(_case(shapes, lambda x: x[-1]))}::BIGINT AS year, '1 Intro' AS section, {_case(shapes, context)} AS context FROM orders"""
+
+
+#: TEI shapes: title and date of the entry, with title and year.
+_TEI_SHAPES = (
+    ('<analytic><title type="main">Paper ~ of it</title></analytic><monogr><title>Some venue</title><imprint><date when="2004-05"/></imprint></monogr>', "Paper ~ of it", 2004),
+    ('<analytic><title level="a" type="main">Study ~ of it</title></analytic><monogr><imprint><date type="published" when="1998"/></imprint></monogr>', "Study ~ of it", 1998),
+    ('<monogr><title level="m">Book ~ of it</title><imprint><date when="2011-12-01"/></imprint></monogr>', "Book ~ of it", 2011),
+)
+
+
+def _tei(shape) -> str:
+    return (
+        '<TEI xmlns="http://www.tei-c.org/ns/1.0"><text><body><div><head n="1">Intro</head><p>First of ~. We use <ref type="bibr" target="#b1">[1]</ref> here</p><formula>x = ~</formula><p>and go on. Last one.</p></div></body>'
+        + '<back><div><listBibl><biblStruct xml:id="b0"><analytic><title>No year here</title></analytic></biblStruct><biblStruct xml:id="b1">' + shape[0] + "</biblStruct></listBibl></div></back></text></TEI>"
+    )
+
+
+@_query(_expected(_TEI_SHAPES, "b0", lambda x: "b1", lambda x: "First of ~. We use (citation #b1) here x = ~ and go on. Last one."))
 def q_tei_contexts(spark, sf_dir):
-    return _parsed(spark, sf_dir, "tei", _TEI)
+    return _parsed(spark, sf_dir, "tei", _case(_TEI_SHAPES, _tei, True))
 
 
-_OCR = r"""concat('# Paper\n\n## 1 Intro\n\nFirst of ', o_orderkey, '. We follow [2] here. Last one.\n\n## References\n\n* [1] A. Lee. Deep nets of no known date at all. Unknown venue.\n* [2] B. Kim. Forests of number ', o_orderkey,
-' and more. In Proc., 2020.\n* [3] C. Elm. Small trees of the north. 2018.\n')"""
+#: OCR shapes: an entry and what cites it, with its title and year.
+_OCR_ENTRIES = (
+    ("[2] B. Kim. Forests of ~ and more trees. In Proc., 2020.", "[2]", "Forests of ~ and more trees", 2020),
+    ("Lee, A.; and Kim, B. 2018. Small ~ trees of the north. In X.", "Lee and Kim (2018)", "Small ~ trees of the north", 2018),
+    ("A. Lee, B. Kim (2017)Wide ~ rivers: a study. In Y.", "Lee et al. (2017)", "Wide ~ rivers: a study", 2017),
+    ("Lee and Kim and Park (2016) Ann Lee. Deep ~ lakes of old. _Venue_.", "Lee et al. (2016)", "Deep ~ lakes of old", 2016),
+    ("[DKS19] Rowan Birch, U. Cedar, _Fast ~ growth and slow decay_, 2019.", "[DKS19]", "Fast ~ growth and slow decay", 2019),
+    ("Birch, R. 2001. Mixed ~ forests of it. _Journal of Woods_ 45.", "Birch (2001)", "Mixed ~ forests of it", 2001),
+    ("Lee et al. [2015] Ann Lee. High ~ hills of old. In Z.", "Lee et al. [2015]", "High ~ hills of old", 2015),
+    ("(7) R. Birch and U. Cedar. Low ~ plains of old. In W, 2014.", "(7)", "Low ~ plains of old", 2014),
+    ("R. Birch and U. Cedar (2013)Dry ~ sands of old. In V.", "Birch and Cedar (2013)", "Dry ~ sands of old", 2013),
+    ("A Lee, B Kim, 2012. Cold ~ winds of old. In U.", "Lee et al. (2012)", "Cold ~ winds of old", 2012),
+    ("Ann Lee, Bob Kim, Cy Elm. 2011. Warm ~ rains of old. In T.", "Lee et al. (2011)", "Warm ~ rains of old", 2011),
+)
+#: Ways to part the entries of a section: bullets, blank lines, lines.
+_OCR_SHAPES = tuple((cut, *entry) for entry in _OCR_ENTRIES for cut in ("\n* ", "\n\n", "\n"))
 
 
-@_query("""
-SELECT o_orderkey, 'b0' AS target, 'b1' AS source_id, 'Forests of number ' || o_orderkey || ' and more' AS title, 2020::BIGINT AS year, '1 Intro' AS section,
-    'First of ' || o_orderkey || '. We follow [2] here. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+def _ocr(shape) -> str:
+    entries = ["A. Elm. Old things of no known date at all. Some place.", shape[1], "C. Elm. Small trees of the south. 2010.", "D. Elm. Big trees of the east. 2009."]
+    return f"# Paper\n\n## 1 Intro\n\nFirst of ~. We follow {shape[2]} here. Last one.\n\n## References\n" + "".join(shape[0] + e for e in entries) + "\n"
+
+
+@_query(_expected(_OCR_SHAPES, "b0", lambda x: "b1", lambda x: f"First of ~. We follow {x[2]} here. Last one."))
 def q_ocr_contexts(spark, sf_dir):
-    return _parsed(spark, sf_dir, "ocr", _OCR)
+    return _parsed(spark, sf_dir, "ocr", _case(_OCR_SHAPES, _ocr, True))
 
 
-_ALT = r"""concat('# T\n\n## 1 Intro\n\nFirst of ', o_orderkey, ' it is. We follow [1, 9] here. Last one.\n\n## References\n\n- [1] Oak. Growing ', o_orderkey, ' forests. In *Venue*, 2001.\n- [2] Elm. Small Trees. arXiv 2002.\n- [3] Ash. Other things. In *X*, 2003.\n')"""
+#: Alternative shapes: entry, its id, what cites it and what becomes of that, with title and year.
+_ALT_SHAPES = (
+    ("- [1] Oak. Growing x~ forests. In *Venue*, 2001.", "1", "[1, 9]", "(citation #1)[9]", "Growing x~ forests", 2001),
+    ("- [1] Oak. Felling x~ forests. 2003.", "1", "[9, 1]", "[9](citation #1)", "Felling x~ forests", 2003),
+    ('<span id="page-3-1"></span>A. Lee, B. Kim. 2019. [Linked x~ title](http://x) of it.', "page-3-1", "[Lee 2019](#page-3-1) and [Elm \\(2001\\)](#page-9-9)", "(citation #page-3-1) and Elm (2001)", "Linked x~ title", 2019),
+    ('<span id="page-3-1"></span>Lee et al. Wide x~ rivers. In *Venue*, 2018.', "page-3-1", "[Lee](#page-3-1)", "(citation #page-3-1)", "Wide x~ rivers", 2018),
+    ('<span id="page-3-1"></span>Lee, Ann. 2017. Deep x~ lakes of old. In Proceedings.', "page-3-1", "[Lee](#page-3-1)", "(citation #page-3-1)", "Deep x~ lakes of old", 2017),
+)
 
 
-@_query("""
-SELECT o_orderkey, 'b0' AS target, '1' AS source_id, 'Growing ' || o_orderkey || ' forests' AS title, coalesce(nullif(regexp_extract(o_orderkey::VARCHAR, '(?:19|20)\\d\\d'), '')::BIGINT, 2001) AS year, '1 Intro' AS section,
-    'First of ' || o_orderkey || ' it is. We follow (citation #1)[9] here. Last one.' AS context FROM orders WHERE o_orderkey % 10 < 3""")
+def _alt(shape) -> str:
+    more = "- [2] Elm. Small Trees. arXiv 2002.\n- [3] Ash. Other things. In *X*, 2003." if shape[1] == "1" else '<span id="page-4-1"></span>C. Elm. 2002. Small trees of it. In X.\n<span id="page-4-2"></span>C. Ash. 2003. Other things of it. In X.'
+    return f"# T\n\n## 1 Intro\n\nFirst of ~ it is. We follow {shape[2]} here. Last one.\n\n## References\n\n{shape[0]}\n{more}\n"
+
+
+#: The year is the first 19xx or 20xx of the entry, be it part of the number in the title of shapes 0, 1 and 3.
+_ALT_YEAR = "(CASE WHEN o_orderkey % 5 IN (0, 1, 3) THEN coalesce(nullif(regexp_extract(o_orderkey::VARCHAR, '19[0-9][0-9]|20[0-9][0-9]'), ''), {0}) ELSE {0} END)"
+
+
+@_query(_expected(_ALT_SHAPES, "b0", lambda x: x[1], lambda x: f"First of ~ it is. We follow {x[3]} here. Last one.", _ALT_YEAR))
 def q_alt_contexts(spark, sf_dir):
-    """The year is the first 19xx or 20xx of the entry, be it part of another number."""
-    return _parsed(spark, sf_dir, "alt", _ALT)
+    return _parsed(spark, sf_dir, "alt", _case(_ALT_SHAPES, _alt, True))
