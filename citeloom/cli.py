@@ -1,29 +1,30 @@
-"""Command line: contexts, corpus graph, and prompts over folders.
+"""Command line: the stages of the citation pipeline over folders.
 
+    python -m citeloom.cli tei|ocr [venue [year ...]] --client MODULE:FUNCTION [--fallback LIST] --root DIR
     python -m citeloom.cli contexts --grobid|--nougat|--marker [venue [year ...]] --root DIR --out DIR
+    python -m citeloom.cli corpus|resolve|labels|split --root DIR --out DIR [--limit N]
     python -m citeloom.cli prompts [venue [year ...]] --root DIR --out DIR
-    python -m citeloom.cli split --root DIR --out DIR
+
+``--root`` may stand in the environment as ROOT_DIR.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom import schema
-from citeloom.functions import paths
-from citeloom.operators import extract, graph, prompts
+from citeloom import chain, schema
+from citeloom.chain import run_contexts  # noqa: F401
 from citeloom.session import session
-from citeloom.sources import scans, sinks
-from citeloom.streaming import incremental
 
-SOURCES = {"grobid": ("tei", paths.TEI), "nougat": ("ocr", paths.OCR), "marker": ("alt", paths.ALT)}
+COMMANDS = ("tei", "ocr", "contexts", "corpus", "resolve", "labels", "split", "prompts")
 
 
 def venues(conf: str | None) -> list[str]:
+    """The venue that is named, in any case; all without a name."""
     if conf is None:
         return list(schema.VENUES)
     if conf.lower() not in schema.VENUES:
@@ -39,65 +40,47 @@ def years_of(words: list[str]) -> list[int]:
     return [int(w) for w in words if w.isdigit()]
 
 
-def run_contexts(spark: SparkSession, source: str, conf: str, years: list[int], root: str, out: str, exclude_appendix: bool = False) -> DataFrame:
-    """Contexts of the files of a venue that have none yet, appended to ``out``; returns status counts."""
-    kind, folder = SOURCES[source]
-    base = f"{root}/{folder}"
-    if kind == "tei":
-        docs = scans.files(spark, base, "tei", conf, years or None, content=True)
-    else:
-        docs = scans.markdown(spark, base, conf, years or None, strict=kind == "alt")
-    docs = docs.withColumn("output_path", paths.source_to_contexts(F.regexp_replace("path", "^file:/+", "/"), base, paths.CONTEXTS))
-    try:
-        done = spark.read.parquet(out).select("output_path")
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        done = docs.select("output_path").limit(0)
-    rows = extract.extract_contexts(incremental.to_do(docs, done), kind, exclude_appendix=exclude_appendix)
-    rows.withColumn("stage", F.lit(f"contexts-{source}")).write.mode("append").parquet(out)
-    return incremental.status_counts(spark.read.parquet(out))
-
-
-def run_split(spark: SparkSession, root: str, out: str) -> None:
-    """Core graph, training and evaluation tables from the labelled corpus."""
-    papers = spark.read.parquet(f"{root}/all_papers_with_refs_and_labels.parquet")
-    refs = F.from_json("references", f"array<{schema.EDGE}>")
-    edges = papers.select("paper_id", F.explode(refs).alias("e")).select("paper_id", "e.matched_paper_id")
-    core = graph.reduce_graph(papers, edges)
-    train, evaluation = graph.split_papers(core)
-    for name, df in (("core_papers", core), ("train", train), ("eval", evaluation)):
-        sinks.write_parquet(df, f"{out}/{name}.parquet")
-        sinks.write_csv(df, f"{out}/{name}.csv")
-
-
-def run_prompts(spark: SparkSession, conf: str, root: str, out: str) -> None:
-    rows = scans.contexts(spark, f"{root}/{paths.CONTEXTS}", conf).select(F.col("path").alias("paper_file"), paths.title_of_file(F.col("path")).alias("paper_title"), F.inline("refs"))
-    prompts.build_prompts(rows).write.mode("append").parquet(out)
-
-
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="citeloom", description="Citation analytics on Spark")
-    parser.add_argument("command", choices=("contexts", "prompts", "split"))
-    for name in SOURCES:
+    parser.add_argument("command", choices=COMMANDS)
+    for name in chain.SOURCES:
         parser.add_argument(f"--{name}", dest="source", action="store_const", const=name)
     parser.add_argument("words", nargs="*", help="venue and years")
-    parser.add_argument("--root", required=True)
-    parser.add_argument("--out", required=True)
+    parser.add_argument("--root", default=os.environ.get("ROOT_DIR"))
+    parser.add_argument("--out")
+    parser.add_argument("--client", help="what makes a client of a TEI service or an OCR model")
+    parser.add_argument("--fallback", help="a file with a PDF path a line: only these")
+    parser.add_argument("--limit", type=int, help="rows of the corpus to label, for trials")
     parser.add_argument("--exclude-appendix", action="store_true")
+    parser.add_argument("--retry-errors", action="store_true")
     args = parser.parse_args(argv)
-    if args.command == "contexts" and args.source is None:
+    lacks = {"contexts": args.source is None, "tei": not args.client, "ocr": not args.client}.get(args.command, False)
+    if lacks or not args.root or not (args.out or args.command in chain.PDF_STAGES):
         parser.print_usage(sys.stderr)
         return 1
-    spark = session()
+    try:
+        confs = venues(args.words[0] if args.words else None)
+    except ValueError as e:
+        print(e, file=sys.stderr)
+        return 1
+    spark, years = session(), years_of(args.words[1:])
     if args.command == "split":
-        run_split(spark, args.root, args.out)
-        return 0
-    for conf in venues(args.words[0] if args.words else None):
-        if args.command == "contexts":
-            run_contexts(spark, args.source, conf, years_of(args.words[1:]), args.root, args.out, args.exclude_appendix).show()
-        else:
-            run_prompts(spark, conf, args.root, args.out)
+        chain.run_split(spark, args.out)
+    elif args.command in ("corpus", "resolve"):
+        found = {"corpus": chain.run_corpus, "resolve": chain.run_resolve}[args.command](spark, args.root, args.out)
+        found.show() if args.command == "resolve" else print(f"{found.count()} papers")
+    elif args.command == "labels":
+        print(f"{chain.run_labels(spark, args.root, args.out, args.limit).count()} labels are missing")
+    else:
+        for conf in confs:
+            if args.command == "contexts":
+                chain.run_contexts(spark, args.source, conf, years, args.root, args.out, args.exclude_appendix, args.retry_errors).show()
+            elif args.command == "prompts":
+                chain.run_prompts(spark, conf, args.root, args.out).agg(F.sum("total").alias("references"), F.sum("generated").alias("generated"), F.sum("empty").alias("empty")).show()
+            else:
+                wanted = spark.read.text(args.fallback).select(F.trim("value").alias("path")) if args.fallback else None
+                done = chain.run_pdfs(spark, args.command, conf, years, args.root, chain.client_of(args.client), wanted)
+                done.groupBy("status").count().show()
     return 0
 
 

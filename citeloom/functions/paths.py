@@ -47,12 +47,12 @@ def corpus_to_contexts(path: Column, root: str) -> Column:
     return F.concat(F.lit(root.rstrip("/") + "/"), json.otherwise(below))
 
 
-def metadata_to_contexts(pdf_path: Column) -> Column:
-    """Context file of a metadata row's PDF path."""
-    below = F.regexp_replace(pdf_path, r"^data/", "")
-    at = F.instr(below, "/papers")
-    moved = F.concat(F.substr(below, F.lit(1), F.greatest(at - 1, F.lit(0))), F.lit(f"/{CONTEXTS}"), F.substr(below, at + len("/papers")))
-    return F.replace(F.when(at > 0, moved).otherwise(below), F.lit(".pdf"), F.lit(".json"))
+def metadata_to_contexts(pdf_path: Column, root: str) -> Column:
+    """Context file of a metadata row's PDF path: the first "/papers" of the whole path, root included, is replaced."""
+    whole = F.concat(F.lit(root.rstrip("/") + "/"), F.regexp_replace(pdf_path, r"^data/", ""))
+    at = F.instr(whole, "/papers")
+    moved = F.concat(F.substr(whole, F.lit(1), F.greatest(at - 1, F.lit(0))), F.lit(f"/{CONTEXTS}"), F.substr(whole, at + len("/papers")))
+    return F.replace(F.when(at > 0, moved).otherwise(whole), F.lit(".pdf"), F.lit(".json"))
 
 
 def corpus_to_scores(path: Column, root: str) -> Column:

@@ -45,7 +45,7 @@ def build_corpus(metadata: DataFrame, pdfs: DataFrame, contexts: DataFrame, sour
     """
     named = metadata.filter(F.coalesce("pdf_path", F.lit("")) != "")
     pdf = F.concat(F.lit(root.rstrip("/") + "/"), F.regexp_replace("pdf_path", r"^data/", ""))
-    context = F.concat(F.lit(root.rstrip("/") + "/"), paths.metadata_to_contexts(F.col("pdf_path")))
+    context = paths.metadata_to_contexts(F.col("pdf_path"), root)
     here = named.withColumn("pdf__", pdf).withColumn("ctx__", context)
     here = here.join(pdfs.select(F.col("path").alias("pdf__")), "pdf__", "left_semi").join(contexts.select(F.col("path").alias("ctx__")), "ctx__", "left_semi")
     stem = F.regexp_replace(F.regexp_replace("pdf_path", r"^data/", ""), r"\.[^./]*$", "")

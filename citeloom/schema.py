@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 CONTEXT = "struct<section:string,context:string>"
 REFERENCE = f"struct<target:string,title:string,year:int,cite:string,contexts:array<{CONTEXT}>,in_dataset:boolean,in_conference_list:boolean>"
 EDGE = "struct<target:string,matched_paper_id:string,title:string,title_from_ref:string,venue:string,year:int,type_1_output:string,type_2_output:string,type_3_output:string>"
@@ -23,7 +25,7 @@ CORE_VENUES = ("neurips", "icml", "iclr")
 TRAIN_YEARS = (2018, 2024)
 EVAL_YEARS = (2025, 2025)
 
-# Fixed value: the namespace of paper ids.
-NAMESPACE = "f47ac10b-58cc-4372-a567-0d02b2c3d479"
+# Fixed value: the namespace of paper ids, unless the environment has another.
+NAMESPACE = os.environ.get("PAPER_UUID_NAMESPACE", "f47ac10b-58cc-4372-a567-0d02b2c3d479")
 # Words of titles that find no candidates.
 STOP_WORDS = ("a", "an", "the", "and", "or", "in", "on", "of", "for", "with", "to", "is", "at")

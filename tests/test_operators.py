@@ -60,7 +60,7 @@ def test_paths(spark):
     assert one(spark, paths.pdf_to_tei(F.lit("/r/icml/2020/a.pdf"), "/r", "/o")) == "/o/icml/2020/a.grobid.tei.xml"
     assert one(spark, paths.source_to_contexts(F.lit("/else/icml/2020/a.grobid.tei.xml"), "/r", "/o")) == "/o/icml/2020/a.json"
     assert one(spark, paths.corpus_to_contexts(F.lit("x/nougat_output/icml/2020/a.md"), "/c")) == "/c/icml/2020/a.json"
-    assert one(spark, paths.metadata_to_contexts(F.lit("data/papers/icml/a.pdf"))) in ("papers/icml/a.json", "citation_contexts/icml/a.json")
+    assert one(spark, paths.metadata_to_contexts(F.lit("data/papers/icml/a.pdf"), "/r")) == "/r/citation_contexts/icml/a.json"
     assert one(spark, paths.corpus_to_scores(F.lit("grobid_output/icml/2020/a.grobid.tei.xml"), "/s")) == "/s/icml/2020/a.csv"
 
 
