@@ -164,14 +164,18 @@ def run_prompts(spark: SparkSession, conf: str, root: str, out: str) -> DataFram
     files = _left(files, state(spark, out), "paper_file", False)
     title = paths.title_of_file(F.col("paper_file")).alias("paper_title")
     rows = files.select("paper_file", title, F.inline("refs"))
-    made = prompts.build_prompts(rows)
     target = F.concat_ws("/", paths.prompt_dir(F.col("paper_file"), base, f"{root}/prompts"), "file_name")
-    new = made.withColumn("output_path", target)
-    stats = prompts.prompt_stats(rows).toPandas()  # a venue's files
-    new.write.mode("append").parquet(out)
-    written = spark.read.parquet(out).join(spark.createDataFrame(stats[["paper_file"]]), "paper_file", "left_semi") if len(stats) else new.limit(0)
-    sinks.export_files(written, "output_path", "text").write.format("noop").mode("overwrite").save()
-    return spark.createDataFrame(stats, "paper_file string, total long, generated long, empty long")
+    sinks.write_parquet(prompts.prompt_stats(rows), f"{out}_stats")
+    prompts.build_prompts(rows).withColumn("output_path", target).write.mode("append").parquet(out)
+
+    # Files are written for all rows that have none, those of a run that was cut off before this step too.
+    there = scans.existing(spark, [f"{root}/prompts/{conf}/*/*"])
+    owed = spark.read.parquet(out).filter(F.col("output_path").startswith(f"{root}/prompts/{conf}/"))
+    if there:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(there)
+        owed = owed.join(files.select(plain(F.col("path")).alias("output_path")), "output_path", "left_anti")
+    sinks.export_files(owed, "output_path", "text").write.format("noop").mode("overwrite").save()
+    return spark.read.parquet(f"{out}_stats")
 
 
 def client_of(name: str):

@@ -2,8 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
-
 from citeloom import chain, cli
 from citeloom.sources import scans
 
@@ -26,8 +24,7 @@ def make_root(root):
 def test_chain_twice(spark, tmp_path, capsys):
     root, out = str(tmp_path / "root"), str(tmp_path / "out")
     make_root(tmp_path / "root")
-    files = sorted((tmp_path / "root" / "citation_contexts").glob("*/*/*.json"))
-    for _ in range(2):
+    for turn in range(2):
         assert {r.status: r.n for r in chain.run_contexts(spark, "nougat", "icml", [], root, f"{out}/contexts").collect()} == {"processed": 2}
         papers = chain.run_corpus(spark, root, out).orderBy("pos").collect()
         assert [(p.title, p.path) for p in papers] == [(t, f"nougat_output/icml/2019/p{i}_{t.replace(' ', '_')}.md") for i, t in enumerate(TITLES)]
@@ -39,9 +36,11 @@ def test_chain_twice(spark, tmp_path, capsys):
         assert [(e["target"], e["title"], e["title_from_ref"]) for e in json.loads(edges[0].references)] == [("b0", TITLES[0], TITLES[0]), ("b1", TITLES[1], TITLES[1][:-1])]
 
         said = {r.paper_file: (r.total, r.generated) for r in chain.run_prompts(spark, "icml", root, f"{out}/prompts").collect()}
-        assert list(said.values()) == ([(3, 4)] * 2 if _ == 0 else [])
+        assert list(said.values()) == ([(3, 4)] * 2 if turn == 0 else [])
         assert spark.read.parquet(f"{out}/prompts").count() == 8
-        assert len(list((tmp_path / "root" / "prompts").glob("*/*/*/*.txt"))) == 8
+        made = list((tmp_path / "root" / "prompts").glob("*/*/*/*.txt"))
+        assert len(made) == 8  # after the first run's file was lost, too
+        made[0].unlink()
 
         scored = tmp_path / "root" / "prompt_scores" / "icml" / "2019" / f"p0_{TITLES[0].replace(' ', '_')}.csv"
         scored.parent.mkdir(parents=True, exist_ok=True)
@@ -73,4 +72,4 @@ def test_arguments(spark, tmp_path, capsys):
     broken.mkdir()
     (broken / "part.parquet").write_text("no parquet")
     assert chain.state(spark, str(broken)) is None and chain.state(spark, str(tmp_path / "none")) is None
-    assert scans.all_scores(spark, str(tmp_path)).count() == 0 and F is not None
+    assert scans.all_scores(spark, str(tmp_path)).count() == 0
